@@ -32,9 +32,10 @@ def explode_either(df: DataFrame, left_key: Column, right_key: Column, key: str,
 
 
 def with_default_row(df: DataFrame, default: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Attach the first row of ``default`` to every row; kept when there is none.
+    """Attach the first row of ``default`` to every row; its columns are NULL when there is none.
 
-    ``limit(1)`` bounds what is broadcast to a single row.
+    A scalar subquery: top one per task, then one row, and no join at all.
     """
-    first = default.orderBy(*order).limit(1)
-    return df.join(F.broadcast(first), F.lit(True), "left")
+    first = default.orderBy(*order).limit(1).select(F.struct(*default.columns))
+    attached = df.withColumn("__default", first.scalar())
+    return attached.select(*df.columns, *[F.col(f"__default.{c}").alias(c) for c in default.columns])

@@ -2,20 +2,23 @@
 
 A plain running window puts each group into one task. Here a group is cut into
 chunks along its order: windows run inside chunks, and what earlier chunks
-contribute is computed from one small row per chunk and added. Where every group
-fits one chunk the contribution is empty and adaptive execution drops its join.
-The input is read twice, so hand over a stored table or a ``cut`` result.
+contribute is one small row per chunk, stored so that the planner knows its size: it
+is broadcast under the session's threshold and joined by shuffle beyond it. Where
+every group fits one chunk it is empty and adaptive execution drops the join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 4096
+from daygrain.session import cut
+
+# Rows a window may hold per group and task. Larger chunks mean fewer rows carried between them.
+CHUNK_ROWS = 1 << 18
 
 
 def number_chunk(number: Column, rows: int = CHUNK_ROWS) -> Column:
@@ -23,77 +26,91 @@ def number_chunk(number: Column, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(number / F.lit(rows)).cast("bigint")
 
 
-def running_sums(
+def running_counts(
     df: DataFrame,
     keys: Sequence[str],
     chunk: str,
     order: Sequence[Column],
-    sums: Mapping[str, Column],
+    counts: Mapping[str, Column],
 ) -> DataFrame:
-    """Add running sums (all earlier rows and this one) per group of ``keys``.
+    """Add running counts (rows up to this one that pass a test) per group of ``keys``.
 
-    ``chunk`` must not decrease along ``order``. NULL keys form a group.
+    ``chunk`` must not decrease along ``order``. NULL keys form a group. Rows are
+    shuffled once, counted inside their chunk and stored; what earlier chunks add is
+    read from the stored table's few key columns.
     """
     keys = list(keys)
-    marked = df.withColumns({f"__add_{name}": amount.cast("bigint") for name, amount in sums.items()})
+    here = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    stored = cut(df.withColumns({f"__here_{name}": F.count_if(test).over(here) for name, test in counts.items()}))
+    return add_carried(stored, keys, chunk, {f"__here_{name}": name for name in counts})
+
 
-    per_chunk = marked.groupBy(*keys, chunk).agg(*[F.sum(f"__add_{n}").alias(f"__add_{n}") for n in sums])
+def add_carried(
+    stored: DataFrame, keys: Sequence[str], chunk: str, names: Mapping[str, str], among: DataFrame | None = None
+) -> DataFrame:
+    """Turn counts that start anew in each chunk into counts over the whole group.
+
+    ``names`` maps the column counted inside the chunk to the result's name. ``among``
+    may narrow the rows to those of groups that can reach over a chunk's end.
+    """
+    before = {local: f"__before_{name}" for local, name in names.items()}
+    # A count never falls, so its last value in a chunk is its greatest.
+    per_chunk = (stored if among is None else among).groupBy(*keys, chunk).agg(*[F.max(local).alias(local) for local in names])
     earlier = (
         Window.partitionBy(*(keys or [F.lit(0)]))
         .orderBy(F.col(chunk).asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = (
-        per_chunk.select(*keys, chunk, *[F.sum(f"__add_{n}").over(earlier).alias(f"__before_{n}") for n in sums])
-        .where(reduce(lambda a, b: a | b, [F.col(f"__before_{n}") > 0 for n in sums]))
+    carried = cut(
+        per_chunk.select(*keys, chunk, *[F.sum(local).over(earlier).alias(b) for local, b in before.items()])
+        .where(reduce(lambda a, b: a | b, [F.col(b) > 0 for b in before.values()]))
         .withColumnsRenamed({k: f"__of_{k}" for k in [*keys, chunk]})
     )
-
-    here = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    inside = marked.withColumns({f"__here_{n}": F.sum(f"__add_{n}").over(here) for n in sums})
     same_chunk = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in [*keys, chunk]])
-    joined = inside.join(carried, same_chunk, "left")
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"__here_{n}") + F.coalesce(F.col(f"__before_{n}"), F.lit(0))).alias(n) for n in sums],
+    return stored.join(carried, same_chunk, "left").select(
+        *[c for c in stored.columns if c not in names],
+        *[(F.col(local) + F.coalesce(F.col(before[local]), F.lit(0))).alias(name) for local, name in names.items()],
     )
 
 
-def trailing(
+def looking_back(
     df: DataFrame,
     keys: Sequence[str],
     position: str,
-    frames: Mapping[str, tuple[int, Column]],
+    reach: int,
+    columns: Mapping[str, Callable[[WindowSpec], Column]],
     block: str = "block",
     rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add aggregates over the last n rows: ``frames`` maps a name to (n, aggregate).
+    """Add window columns that look at most ``reach`` rows back.
 
     ``position`` numbers a group 1, 2, 3 …; blocks hold ``rows`` positions, and the
-    last n-1 rows of a block also visit the next one, where only they look back to.
+    last ``reach`` rows of a block also visit the next one, where only its own rows look
+    back to them. Each function in ``columns`` gets the window ordered by position.
     The result keeps the block number in ``block``.
     """
-    reach = max(n for n, _ in frames.values()) - 1
     if reach >= rows:
-        raise ValueError("a block must hold more rows than the longest frame")
+        raise ValueError("a block must hold more rows than the window reaches back")
     offset = F.col(position) - 1
     own = F.floor(offset / F.lit(rows)).cast("bigint")
     visits = F.when(offset % rows >= rows - reach, F.array(own, own + 1)).otherwise(F.array(own))
     spread = df.withColumn("__own", own).withColumn(block, F.explode(visits))
+    ordered = Window.partitionBy(*keys, block).orderBy(position)
+    looked = spread.withColumns({name: make(ordered) for name, make in columns.items()})
+    return looked.where(F.col(block) == F.col("__own")).drop("__own")
 
-    def frame(n: int):
-        return Window.partitionBy(*keys, block).orderBy(position).rowsBetween(-(n - 1), 0)
 
-    return (
-        spread.withColumns({name: aggregate.over(frame(n)) for name, (n, aggregate) in frames.items()})
-        .where(F.col(block) == F.col("__own"))
-        .drop("__own")
-    )
+def trailing_share(count: Column, count_before: Column, position: Column, rows: int) -> Column:
+    """Share of counted rows among the last ``rows``, from running counts now and ``rows`` rows ago.
+
+    Two numbers per row instead of a frame walked anew for each row.
+    """
+    return (count - F.coalesce(count_before, F.lit(0))) / F.least(position, F.lit(rows))
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[Column], name: str) -> DataFrame:
     """ROW_NUMBER per group, in chunks."""
-    return running_sums(df, keys, chunk, order, {name: F.lit(1)})
+    return running_counts(df, keys, chunk, order, {name: F.lit(True)})
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -112,14 +129,15 @@ def greatest_per_key(df: DataFrame, keys: Sequence[str], measure: str) -> DataFr
     return df.groupBy(*keys).agg(F.max(measure).alias(measure))
 
 
-def group_mean_beside(df: DataFrame, keys: Mapping[str, Column], means: Mapping[str, Column]) -> DataFrame:
+def group_mean_beside(df: DataFrame, keys: Mapping[str, Column], means: Mapping[str, Column], few: bool = False) -> DataFrame:
     """Put each group's mean beside its rows.
 
     Means come from a partial aggregation and join back, so no group is gathered.
+    ``few`` promises that the keys can only take a few values, whatever the data.
     """
     keyed = df.withColumns({f"__k_{k}": c for k, c in keys.items()})
     names = [f"__k_{k}" for k in keys]
     table = keyed.groupBy(*names).agg(*[m.alias(n) for n, m in means.items()])
     table = table.withColumnsRenamed({n: f"{n}_of" for n in names})
     same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}_of")) for n in names])
-    return keyed.join(table, same, "left").select(*df.columns, *means)
+    return keyed.join(F.broadcast(table) if few else table, same, "left").select(*df.columns, *means)

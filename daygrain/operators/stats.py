@@ -219,12 +219,11 @@ def bootstrap_band(
     )
     slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
     lines = sums.select("replicate", slope.alias("slope"), ((F.col("sy") - slope * F.col("sx")) / F.col("n")).alias("intercept"))
-    ends = pairs.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    steps = ends.select(
-        F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * i / F.lit(float(points - 1)))).alias("x")
-    )
-    # Both sides are fixed in size: ``replicates`` lines and ``points`` steps.
-    predicted = lines.crossJoin(F.broadcast(steps)).withColumn("value", F.col("intercept") + F.col("slope") * F.col("x"))
+    low, high = pairs.agg(F.min("x")).scalar(), pairs.agg(F.max("x")).scalar()
+    ranged = lines.withColumns({"lo": low, "step": (high - low) / F.lit(float(points - 1))})
+    steps = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("lo") + F.col("step") * i)
+    predicted = ranged.select("replicate", "slope", "intercept", F.explode(steps).alias("x"))
+    predicted = predicted.withColumn("value", F.col("intercept") + F.col("slope") * F.col("x"))
     tail = (1.0 - level) / 2.0
     resampled = F.when(F.col("replicate") > 0, F.col("value"))
     return predicted.groupBy("x").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.columns import by_side, outcome_value, round_to
 from daygrain.operators.joins import full_outer_split
-from daygrain.operators.ordered import CHUNK_ROWS, group_mean_beside, last_per_key, sequence_number, trailing
+from daygrain.operators.ordered import CHUNK_ROWS, group_mean_beside, last_per_key, looking_back, sequence_number
 from daygrain.session import cut
 
 PERSPECTIVE = (
@@ -49,7 +49,7 @@ DISPLAY_NAMES = {
 
 
 def with_day_norms(weather: DataFrame) -> DataFrame:
-    """Mean high and low of the calendar day over all years."""
+    """Mean high and low of the calendar day over all years; 366 of them at most."""
     return group_mean_beside(
         weather,
         {"month": F.month("report_date"), "day": F.dayofmonth("report_date")},
@@ -57,6 +57,7 @@ def with_day_norms(weather: DataFrame) -> DataFrame:
             "avg_max_temp_deg_f": round_to(F.avg("max_temp_deg_f"), 2),
             "avg_min_temp_deg_f": round_to(F.avg("min_temp_deg_f"), 2),
         },
+        few=True,
     )
 
 
@@ -103,10 +104,10 @@ def deviation(value: str, norm: str) -> Column:
 def carried(df: DataFrame, columns: Sequence[str], rows: int = 10, block_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add ``<column>_lag``: on days without a game the maximum of the last rows, else the own value."""
     order = [F.col("entry_date").asc_nulls_last(), F.col("game_id").asc_nulls_last()]
-    stored = cut(df.withColumn("__month", F.trunc("entry_date", "month")))
-    placed = sequence_number(stored, [], "__month", order, "__position")
-    frames = {f"__last_{c}": (rows, F.max(c)) for c in columns}
-    looked = trailing(placed, [], "__position", frames, "__block", block_rows)
+    monthly = df.withColumn("__month", F.trunc("entry_date", "month"))
+    placed = sequence_number(monthly, [], "__month", order, "__position")
+    recent = {f"__last_{c}": (lambda w, c=c: F.max(c).over(w.rowsBetween(-(rows - 1), 0))) for c in columns}
+    looked = looking_back(placed, [], "__position", rows - 1, recent, "__block", block_rows)
     lag = {f"{c}_lag": F.when(F.col("team_game_number").isNull(), F.col(f"__last_{c}")).otherwise(F.col(c)) for c in columns}
     return looked.withColumns(lag).select(*df.columns, *lag)
 

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.functions.columns import by_side, concat_present, flag, outcome_label, round_to
 from daygrain.operators.joins import explode_either
-from daygrain.operators.ordered import CHUNK_ROWS, number_chunk, running_sums, sequence_number, trailing
+from daygrain.operators.ordered import (
+    CHUNK_ROWS,
+    add_carried,
+    looking_back,
+    number_chunk,
+    running_counts,
+    sequence_number,
+    trailing_share,
+)
 from daygrain.session import cut
 
 OUTCOMES = ("win", "loss", "tie")
@@ -59,13 +67,15 @@ def current_sides(games: DataFrame) -> DataFrame:
         )
 
     both = F.inline(F.array(side("away", False), side("home", True)))
-    return games.select("game_date", "game_id", "season", both, "series_game_number", "night_game").distinct()
+    sides = games.select("game_date", "game_id", "season", both, "series_game_number", "night_game")
+    # Equal rows share these three, so one exchange serves the distinct and the numbering after it.
+    return sides.repartition("team", "season", "game_date").distinct()
 
 
 def current_team_games(games: DataFrame) -> DataFrame:
     """Current games by team, numbered per season in playing order."""
     order = [F.col(c).asc_nulls_last() for c in ("game_date", "series_game_number", "game_id")]
-    return sequence_number(cut(current_sides(games)), ["team", "season"], "game_date", order, "game_number")
+    return sequence_number(current_sides(games), ["team", "season"], "game_date", order, "game_number")
 
 
 def combine_sources(historical: DataFrame, current: DataFrame) -> DataFrame:
@@ -93,13 +103,10 @@ def with_running_counts(team_games: DataFrame, rows: int = CHUNK_ROWS) -> DataFr
 
     One exchange by (season, team, chunk) serves every count; see ``operators.ordered``.
     """
-    keys = ["season", "team"]
     chunked = team_games.withColumn("chunk", number_chunk(F.col("game_number"), rows))
-    stored = cut(chunked.repartition(*keys, "chunk"))
-    counted = lambda test: F.when(test, F.lit(1)).otherwise(F.lit(0))
-    sums = {"position": F.lit(1), "unlabelled": counted(F.col("outcome").isNull())}
-    sums |= {f"run_{o}": counted(F.col("outcome") == o) for o in OUTCOMES}
-    return running_sums(stored, keys, "chunk", played_order(), sums).drop("chunk")
+    counts = {"position": F.lit(True), "unlabelled": F.col("outcome").isNull()}
+    counts |= {f"run_{o}": F.col("outcome") == o for o in OUTCOMES}
+    return running_counts(chunked, ["season", "team"], "chunk", played_order(), counts).drop("chunk")
 
 
 def streak_group(counted: DataFrame) -> DataFrame:
@@ -108,17 +115,39 @@ def streak_group(counted: DataFrame) -> DataFrame:
     for outcome in OUTCOMES:
         rank = F.when(F.col("outcome") == outcome, F.col(f"run_{outcome}")).otherwise(rank)
     distance = F.col("game_number") - rank
-    return counted.withColumn("streak_group", F.concat("outcome", distance.cast("string")))
+    return counted.withColumn("distance", distance).withColumn("streak_group", F.concat("outcome", F.col("distance").cast("string")))
+
+
+def may_span_blocks(stored: DataFrame) -> DataFrame:
+    """Rows whose island may continue in another block.
+
+    An island has one distance, so it can only reach into blocks whose distances
+    enclose it. Without repeated game numbers that is the island at a block's edge.
+    """
+    keys = ["season", "team", "outcome"]
+    spans = stored.groupBy(*keys, "block").agg(F.min("distance").alias("least"), F.max("distance").alias("most"))
+    by_block = Window.partitionBy(*keys).orderBy("block")
+    others = spans.select(
+        *[F.col(k).alias(f"__of_{k}") for k in (*keys, "block")],
+        F.max("most").over(by_block.rowsBetween(Window.unboundedPreceding, -1)).alias("__most_before"),
+        F.min("least").over(by_block.rowsBetween(1, Window.unboundedFollowing)).alias("__least_after"),
+    ).where(F.col("__most_before").isNotNull() | F.col("__least_after").isNotNull())
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in (*keys, "block")]
+    beside = stored.select(*keys, "block", "distance", "streak_group", "__streak").join(cut(others), same, "left")
+    reaches = (F.col("distance") <= F.col("__most_before")) | (F.col("distance") >= F.col("__least_after"))
+    return beside.where(reaches | F.col("streak_group").isNull())
 
 
 def with_records(counted: DataFrame, trailing_games: Sequence[int] = (10, 40), rows: int = CHUNK_ROWS) -> DataFrame:
     """Signed streak, wins, losses and win shares (so far and over the last games)."""
     keys = ["season", "team"]
-    won = F.when(F.col("outcome") == "win", F.lit(1)).otherwise(F.lit(0))
-    frames = {f"last_{n}_win_pct": (n, F.avg(won)) for n in trailing_games}
-    stored = cut(trailing(streak_group(counted), keys, "position", frames, "block", rows))
-    numbered = F.when(F.col("game_number").isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    streaks = running_sums(stored, [*keys, "streak_group"], "block", [F.col("position")], {"streak": numbered})
+    back = {f"__wins_{n}_ago": (lambda w, n=n: F.lag("run_win", n).over(w)) for n in trailing_games}
+    blocks = looking_back(streak_group(counted), keys, "position", max(trailing_games), back, "block", rows)
+    # Inside a block the island count needs no exchange of its own: it refines (season, team, block).
+    so_far = Window.partitionBy(*keys, "block", "streak_group").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    stored = cut(blocks.withColumn("__streak", F.count("game_number").over(so_far)))
+    streaks = add_carried(stored, [*keys, "streak_group"], "block", {"__streak": "streak"}, among=may_span_blocks(stored))
+    recent = lambda n: trailing_share(F.col("run_win"), F.col(f"__wins_{n}_ago"), F.col("position"), n)
     present = F.col("team").isNotNull()
     return streaks.select(
         "game_date",
@@ -133,7 +162,7 @@ def with_records(counted: DataFrame, trailing_games: Sequence[int] = (10, 40), r
         F.coalesce("current_record_wins", F.when(present, F.col("run_win")).otherwise(F.lit(0))).alias("current_record_wins"),
         F.coalesce("current_record_losses", F.when(present, F.col("run_loss")).otherwise(F.lit(0))).alias("current_record_losses"),
         round_to(F.col("run_win") / F.col("position"), 3).alias("current_win_pct"),
-        *[round_to(F.col(name), 3).alias(name) for name in frames],
+        *[round_to(recent(n), 3).alias(f"last_{n}_win_pct") for n in trailing_games],
         "night_game",
         "time_of_game_minutes",
     )
@@ -172,4 +201,4 @@ def pair_sides(records: DataFrame, trailing_games: Sequence[int] = (10, 40)) ->
 def games(historical: DataFrame, current: DataFrame, teams: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
     """The game table: staged historical and current games to one row per game."""
     combined = combine_sources(historical_team_games(historical, teams), current_team_games(current))
-    return pair_sides(cut(with_records(with_running_counts(combined, rows), rows=rows)))
+    return pair_sides(with_records(with_running_counts(combined, rows), rows=rows))

@@ -24,7 +24,9 @@ def build_session(app: str = "daygrain", master: str | None = None, shuffle_part
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1")
+        # In local mode the driver is the only executor, and 1 GB, its default, mostly collects garbage.
+        local = {"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.driver.memory": "8g"}
+        builder = builder.master(master).config(map=local)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
@@ -54,9 +56,11 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write an intermediate result once, so that several readers do not recompute it.
+    """Store an intermediate result once, so that its readers do not recompute it.
 
-    The files lie in the shared folder and outlive lost executors.
+    A Parquet table in the shared folder: it outlives lost executors, and each reader
+    takes only the columns and rows it needs.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    path = fresh_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

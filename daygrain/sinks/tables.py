@@ -13,6 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrain.session import cut
+
 
 def _folder(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -71,7 +73,7 @@ def upsert(df: DataFrame, table: str, key: str, order: Column | None = None) ->
     spark = df.sparkSession
     row = F.struct(*df.columns)
     new = df.groupBy(F.col(key).alias("__key")).agg(F.max_by(row, order if order is not None else row).alias("__row"))
-    new = new.select("__row.*")
+    new = cut(new.select("__row.*"))
     old = read_table(spark, table)
     if old is None:
         return write_full(new, table)
@@ -91,7 +93,8 @@ def write_time_range(df: DataFrame, table: str, time_column: str, start: dt.date
 
     before = {path: set(_children(spark, path)) for path in _day_folders(spark, table, start, end)}
     (
-        inside.write.mode("overwrite")
+        inside.hint("rebalance", F.col("day"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(table)
@@ -128,10 +131,13 @@ def _day_folders(spark: SparkSession, table: str, start: dt.date, end: dt.date)
 
 
 def write_yearly(df: DataFrame, base: str, time_column: str = "reportTime") -> None:
-    """Observations as one Parquet set per city and year; only sets present in ``df`` are replaced."""
+    """Observations as one Parquet set per city and year; only sets present in ``df`` are replaced.
+
+    Rebalancing gathers a set into few files but splits one that is large.
+    """
     (
         df.withColumn("year", F.year(time_column))
-        .repartition("city", "year", F.to_date(time_column))
+        .hint("rebalance", F.col("city"), F.col("year"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("city", "year")

@@ -27,8 +27,7 @@ def dated_paths(paths: DataFrame, pattern: str = DATE_IN_PATH) -> DataFrame:
 def latest_snapshot(paths: DataFrame, oldest: dt.date, newest: dt.date, pattern: str = DATE_IN_PATH) -> DataFrame:
     """Paths of the newest snapshot dated within [oldest, newest]; empty if there is none."""
     inside = dated_paths(paths, pattern).where(F.col("snapshot_date").between(F.lit(oldest), F.lit(newest)))
-    top = inside.agg(F.max("snapshot_date").alias("__newest"))
-    return inside.join(F.broadcast(top), F.col("snapshot_date") == F.col("__newest")).drop("__newest")
+    return inside.where(F.col("snapshot_date") == inside.agg(F.max("snapshot_date")).scalar())
 
 
 def snapshot_freshness(paths: DataFrame, oldest: dt.date, newest: dt.date, pattern: str = DATE_IN_PATH) -> DataFrame:
@@ -70,6 +69,5 @@ def greatest_stamp(names: DataFrame, column: str = "path") -> DataFrame:
     last = F.element_at(F.split(column, "_"), -1)
     pieces = F.split(last, r"\.")
     stamp = F.when(F.col(column).contains("_") & (F.size(pieces) == 2), F.try_to_date(pieces[0], "yyyy-MM-dd"))
-    top = named.agg(F.max(stamp).alias("__stamp"))
-    text = F.date_format("__stamp", "yyyy-MM-dd")
-    return named.join(F.broadcast(top), F.contains(F.col(column), text)).drop("__stamp")
+    greatest = named.agg(F.date_format(F.max(stamp), "yyyy-MM-dd")).scalar()
+    return named.where(F.contains(F.col(column), greatest))

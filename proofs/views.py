@@ -9,6 +9,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daygrain.functions.columns import round_to
 from daygrain.operators.ordered import sequence_number
@@ -48,6 +49,9 @@ def with_views(*names: str, select: str) -> str:
     return f"WITH {chain}\n{select}"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Views:
     """Spark side of the views for one data folder."""
 
@@ -55,7 +59,11 @@ class Views:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is looked up once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # --- incidents and population ------------------------------------------
 
