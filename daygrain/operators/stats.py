@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,9 @@ def win_loss_record(df: DataFrame, conditions: Conditions, outcome: str = "team_
 # --- relations --------------------------------------------------------------
 
 
+_PAIR_NAMES = ["i", "j", "n", "x_sum", "y_sum", "x_squares", "y_squares", "product_sum", "x_low", "x_high", "y_low", "y_high"]
+
+
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson over complete pairs; NULL without spread (ANSI ``corr`` would raise)."""
     both = x.isNotNull() & y.isNotNull()
@@ -119,26 +124,49 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per Arrow batch and pair of columns: count, sums, products and extremes over complete pairs."""
+    for batch in batches:
+        x = np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
+        known = ~np.isnan(x)
+        mask, zeroed = known.astype(float), np.where(known, x, 0.0)
+        n, s, ss, products = mask.T @ mask, zeroed.T @ mask, (zeroed**2).T @ mask, zeroed.T @ zeroed
+        # lowest[i, j] and highest[i, j]: extremes of column i where column j is known too.
+        lowest = np.array([np.where(known & known[:, [i]], x[:, [i]], np.inf).min(0, initial=np.inf) for i in range(x.shape[1])])
+        highest = np.array([np.where(known & known[:, [i]], x[:, [i]], -np.inf).max(0, initial=-np.inf) for i in range(x.shape[1])])
+        i, j = np.tril_indices(x.shape[1], -1)
+        cells = [i.astype(np.int32), j.astype(np.int32), n[i, j], s[i, j], s[j, i], ss[i, j], ss[j, i], products[i, j]]
+        cells += [lowest[i, j], highest[i, j], lowest[j, i], highest[j, i]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=_PAIR_NAMES)
+
+
 def correlation_matrix(df: DataFrame, fields: Sequence[str], digits: int = 2) -> DataFrame:
-    """Strict lower triangle as (x, y, r), pairwise complete.
+    """Strict lower triangle as (x, y, r), pairwise complete; NULL without pairs or spread.
 
-    Each row fans out into its complete pairs and is folded per pair right away, in the
-    same task; only one row per pair and task is shuffled.
+    Fifteen fields make 105 pairs. Folding every row into every pair with SQL aggregates
+    costs over ten times the matrix products used here. Values are centred first, by one
+    cheap aggregation, so that plain sums lose no digits. A batch leaves one row per pair,
+    folded again per task before it is shuffled.
     """
-    values = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(fields)])
-    pairs = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"f{i}").alias("a"), F.col(f"f{j}").alias("b"))
-        for j, i in combinations(range(len(fields)), 2)
-    ]
-    long = values.select(F.inline(F.array(*pairs))).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    spread = F.stddev_pop("a") * F.stddev_pop("b")
-    matrix = long.groupBy("i", "j").agg(round_to(F.try_divide(F.covar_pop("a", "b"), spread), digits).alias("r"))
-    names = F.array(*[F.lit(c) for c in fields])
-    wanted = df.sparkSession.range(1).select(
-        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for j, i in combinations(range(len(fields)), 2)]))
+    means = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(fields)])).scalar()
+    held = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(fields)], means.alias("m"))
+    centred = held.select(*[(F.col(f"f{i}") - F.col(f"m.f{i}")).alias(f"f{i}") for i in range(len(fields))])
+    schema = "i int, j int, " + ", ".join(f"{n} double" for n in _PAIR_NAMES[2:])
+    total = centred.mapInArrow(_pair_sums, schema).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in _PAIR_NAMES[2:8]],
+        ((F.min("x_low") < F.max("x_high")) & (F.min("y_low") < F.max("y_high"))).alias("spread"),
     )
-    # Fields without a single complete pair still get their (empty) cell.
-    return wanted.join(matrix, ["i", "j"], "left").select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), "r")
+    n, sx, sy = F.col("n"), F.col("x_sum"), F.col("y_sum")
+    above = n * F.col("product_sum") - sx * sy
+    squares = [F.greatest(n * F.col(f"{v}_squares") - v_sum * v_sum, F.lit(0.0)) for v, v_sum in (("x", sx), ("y", sy))]
+    below = F.sqrt(squares[0]) * F.sqrt(squares[1])
+    names = F.array(*[F.lit(c) for c in fields])
+    r = F.when(F.col("spread"), round_to(F.try_divide(above, below), digits))
+    cells = total.select("i", "j", r.alias("r"))
+    # An empty input still has its cells.
+    wanted = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for j, i in combinations(range(len(fields)), 2)]
+    triangle = df.sparkSession.range(1).select(F.inline(F.array(*wanted)))
+    return triangle.join(cells, ["i", "j"], "left").select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), "r")
 
 
 def correlation_band(df: DataFrame, x: str, y: str) -> DataFrame:
