@@ -2,9 +2,9 @@
 
 A plain running window puts each group into one task. Here a group is cut into
 chunks along its order: windows run inside chunks, and what earlier chunks
-contribute is one small row per chunk, stored so that the planner knows its size: it
-is broadcast under the session's threshold and joined by shuffle beyond it. Where
-every group fits one chunk it is empty and adaptive execution drops the join.
+contribute is one small row per chunk. The planner knows its size: it is broadcast
+under the session's threshold and joined by shuffle beyond it. Where every group fits
+one chunk it is empty and adaptive execution drops the join.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from daygrain.session import cut
+from daygrain.session import cut, settle
 
 # Rows a window may hold per group and task. Larger chunks mean fewer rows carried between them.
 CHUNK_ROWS = 1 << 18
@@ -61,7 +61,7 @@ def add_carried(
         .orderBy(F.col(chunk).asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = cut(
+    carried = settle(
         per_chunk.select(*keys, chunk, *[F.sum(local).over(earlier).alias(b) for local, b in before.items()])
         .where(reduce(lambda a, b: a | b, [F.col(b) > 0 for b in before.values()]))
         .withColumnsRenamed({k: f"__of_{k}" for k in [*keys, chunk]})

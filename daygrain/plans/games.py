@@ -18,7 +18,7 @@ from daygrain.operators.ordered import (
     sequence_number,
     trailing_share,
 )
-from daygrain.session import cut
+from daygrain.session import cut, settle
 
 OUTCOMES = ("win", "loss", "tie")
 PLAYED_ORDER = ("game_number", "game_date", "game_id")
@@ -133,7 +133,7 @@ def may_span_blocks(stored: DataFrame) -> DataFrame:
         F.min("least").over(by_block.rowsBetween(1, Window.unboundedFollowing)).alias("__least_after"),
     ).where(F.col("__most_before").isNotNull() | F.col("__least_after").isNotNull())
     same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in (*keys, "block")]
-    beside = stored.select(*keys, "block", "distance", "streak_group", "__streak").join(cut(others), same, "left")
+    beside = stored.select(*keys, "block", "distance", "streak_group", "__streak").join(settle(others), same, "left")
     reaches = (F.col("distance") <= F.col("__most_before")) | (F.col("distance") >= F.col("__least_after"))
     return beside.where(reaches | F.col("streak_group").isNull())
 

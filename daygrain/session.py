@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +57,43 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+_stored: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store an intermediate result once, so that its readers do not recompute it.
 
     A Parquet table in the shared folder: it outlives lost executors, and each reader
-    takes only the columns and rows it needs.
+    takes only the columns and rows it needs. ``temporary`` removes it after use.
     """
     path = fresh_folder(df.sparkSession, "stored")
     df.write.parquet(path)
+    for open_scope in _stored:
+        open_scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Make sure the planner does not overrate a join side that is probably small.
+
+    The estimate for an aggregate over a huge table is huge, and the other side would be
+    shuffled before the truth is known. Unless the estimate already allows a broadcast,
+    the side is stored, and its real size decides.
+    """
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    allowed = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df if estimate <= allowed else cut(df)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove intermediate tables stored inside, once the result has been written."""
+    paths: list[str] = []
+    _stored.append(paths)
+    try:
+        yield
+    finally:
+        _stored.remove(paths)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.session import cut
+from daygrain.session import cut, temporary
 
 
 def _folder(spark: SparkSession, path: str):
@@ -72,13 +72,14 @@ def upsert(df: DataFrame, table: str, key: str, order: Column | None = None) ->
     """
     spark = df.sparkSession
     row = F.struct(*df.columns)
-    new = df.groupBy(F.col(key).alias("__key")).agg(F.max_by(row, order if order is not None else row).alias("__row"))
-    new = cut(new.select("__row.*"))
+    unique = df.groupBy(F.col(key).alias("__key")).agg(F.max_by(row, order if order is not None else row).alias("__row"))
     old = read_table(spark, table)
     if old is None:
-        return write_full(new, table)
-    kept = old.join(new.select(F.col(key).alias("__key")), F.col(key) == F.col("__key"), "left_anti")
-    return write_full(kept.unionByName(new), table)
+        return write_full(unique.select("__row.*"), table)
+    with temporary(spark):
+        new = cut(unique.select("__row.*"))
+        kept = old.join(new.select(F.col(key).alias("__key")), F.col(key) == F.col("__key"), "left_anti")
+        return write_full(kept.unionByName(new), table)
 
 
 def write_time_range(df: DataFrame, table: str, time_column: str, start: dt.date, end: dt.date) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daygrain.operators.consolidate import consolidate, recompile
-from daygrain.session import cut
+from daygrain.session import cut, temporary
 from daygrain.sinks.tables import read_day, write_time_range
 from daygrain.sources import schemas
 from daygrain.sources.snapshots import DATE_IN_PATH
@@ -33,13 +33,15 @@ def absorb(batch: DataFrame, table: str, time: str = "reportTime") -> None:
 
     Only the tail is written: the day the batch begins in and the days after it.
     """
-    parsed = cut(batch)
-    first = parsed.agg(F.min(time).alias("t")).first().t
-    if first is None:
-        return
-    inside = recompile(parsed, "file_date", time, keys=())
-    begun = read_day(batch.sparkSession, table, first.date())
-    write_time_range(consolidate(begun, inside, time), table, time, first.date(), dt.date.max)
+    spark = batch.sparkSession
+    with temporary(spark):
+        parsed = cut(batch)
+        first = parsed.agg(F.min(time).alias("t")).first().t
+        if first is None:
+            return
+        inside = recompile(parsed, "file_date", time, keys=())
+        begun = read_day(spark, table, first.date())
+        write_time_range(consolidate(begun, inside, time), table, time, first.date(), dt.date.max)
 
 
 def run_available(stream: DataFrame, table: str, checkpoint: str, time: str = "reportTime"):

@@ -61,14 +61,17 @@ def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--folder", help="tables elsewhere, such as replicated ones")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    folder = f"/root/testdata/sf{args.sf}"
+    folder = args.folder or f"/root/testdata/sf{args.sf}"
     spark = build_session("check", "local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+        path = f"{folder}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     bad = 0
     for name in args.names or REGISTRY:
         try:

@@ -129,12 +129,13 @@ LONG_COUNTS = """SELECT 'area ' || o_custkey AS geographic_area, y AS "year",
     FROM orders, (VALUES (1996), (1997), (1998)) AS t(y) GROUP BY o_custkey, y"""
 
 
-@query("s4_blank_headers_u3_unpivot_x3_replace", f"SELECT geographic_area, CAST(\"year\" AS BIGINT) AS \"year\", population FROM ({LONG_COUNTS})")
+@query("s4_blank_headers_u2_concat_u3_unpivot_x3_replace", f"SELECT geographic_area, CAST(\"year\" AS BIGINT) AS \"year\", population FROM ({LONG_COUNTS})")
 def _(v):
     path = fresh_folder(v.spark, "census")
     landing.land_lines(wide_counts(v), path, ["table with titles", "Estimates,of,something", ",,1996,1997,1998"])
     rows = files.read_csv_after_preamble(v.spark, path, skip=2)
-    return raw.population([raw.years_to_rows(rows, "_duplicated_0", {str(y): str(y) for y in (1996, 1997, 1998)})])
+    years = lambda *found: raw.years_to_rows(rows, "_duplicated_0", {str(y): str(y) for y in found})
+    return raw.population([years(1996, 1997), years(1998)])
 
 
 @query(
@@ -254,7 +255,7 @@ def _(v):
     return files.read_observation_arrays(v.spark, path).select("icaoId", "obsTime", "reportTime", "temp", "dewp", "wspd")
 
 
-@query("s10_prefix_union_u2_concat", ORDER_TEXT)
+@query("s10_prefix_union", ORDER_TEXT)
 def _(v):
     base = fresh_folder(v.spark, "prefix")
     text = order_text(v)
@@ -418,7 +419,7 @@ def _(v):
 
 
 @query(
-    "p7_team_perspective_f6_either_side",
+    "p7_team_perspective",
     with_views("games", select=f"""SELECT game_id, CASE WHEN home_name = '{TEAM}' THEN home_name ELSE away_name END AS team,
     home_name = '{TEAM}' AS home_game, CASE WHEN home_name = '{TEAM}' THEN home_score ELSE away_score END AS team_score
     FROM games WHERE home_name = '{TEAM}' OR away_name = '{TEAM}'"""),
@@ -432,6 +433,11 @@ def _(v):
     return city.team_view(rows, TEAM).select("game_id", "team", "home_game", "team_score")
 
 
+@query("f6_games_of_team", with_views("gold_games", select=f"SELECT * FROM gold_games WHERE home_team = '{TEAM}' OR away_team = '{TEAM}'"))
+def _(v):
+    return city.games_of(gold_games(v), TEAM)
+
+
 @query("p8_outcome_value_p9_deviation", with_views(_STAT, select="""SELECT entry_date,
     CASE team_outcome WHEN 'win' THEN 1 WHEN 'loss' THEN 0 END AS v, max_temp_deg_f - avg_max_temp_deg_f AS above_norm FROM stat_days"""))
 def _(v):
