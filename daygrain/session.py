@@ -24,6 +24,8 @@ def build_session(app: str = "daygrain", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The game plans generate some 200 classes; the default cache of 100 would compile them all again each time.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     if master:
         # In local mode the driver is the only executor, and 1 GB, its default, mostly collects garbage.
