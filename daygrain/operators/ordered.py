@@ -21,9 +21,10 @@ from daygrain.session import cut, settle
 CHUNK_ROWS = 1 << 18
 
 
-def number_chunk(number: Column, rows: int = CHUNK_ROWS) -> Column:
-    """Chunk of a dense sequence number; unknown numbers share a chunk of their own."""
-    return F.floor(number / F.lit(rows)).cast("bigint")
+def number_chunk(number: Column, day: Column, rows: int = CHUNK_ROWS) -> Column:
+    """Chunk of a dense sequence number; rows without a number come last, by day."""
+    behind = F.lit(1 << 40) + F.unix_date(day)
+    return F.coalesce(F.floor(number / F.lit(rows)).cast("bigint"), behind)
 
 
 def running_counts(

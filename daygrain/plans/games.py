@@ -103,7 +103,7 @@ def with_running_counts(team_games: DataFrame, rows: int = CHUNK_ROWS) -> DataFr
 
     One exchange by (season, team, chunk) serves every count; see ``operators.ordered``.
     """
-    chunked = team_games.withColumn("chunk", number_chunk(F.col("game_number"), rows))
+    chunked = team_games.withColumn("chunk", number_chunk(F.col("game_number"), F.col("game_date"), rows))
     counts = {"position": F.lit(True), "unlabelled": F.col("outcome").isNull()}
     counts |= {f"run_{o}": F.col("outcome") == o for o in OUTCOMES}
     return running_counts(chunked, ["season", "team"], "chunk", played_order(), counts).drop("chunk")

@@ -36,42 +36,40 @@ def build_session(app: str = "daygrain", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
+_handed_out: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
     Only a local session without the setting gets a temporary folder.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
         return named
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="daygrain-"))
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="daygrain-"))
     return context.getCheckpointDir()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
-
-
-_stored: list[list[str]] = []
+    """A new, unused path below the shared folder. ``temporary`` removes it after use."""
+    path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    for open_scope in _handed_out:
+        open_scope.append(path)
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Store an intermediate result once, so that its readers do not recompute it.
 
     A Parquet table in the shared folder: it outlives lost executors, and each reader
-    takes only the columns and rows it needs. ``temporary`` removes it after use.
+    takes only the columns and rows it needs.
     """
     path = fresh_folder(df.sparkSession, "stored")
     df.write.parquet(path)
-    for open_scope in _stored:
-        open_scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -89,13 +87,13 @@ def settle(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """Remove intermediate tables stored inside, once the result has been written."""
+    """Remove the folders handed out inside, once the result has been written."""
     paths: list[str] = []
-    _stored.append(paths)
+    _handed_out.append(paths)
     try:
         yield
     finally:
-        _stored.remove(paths)
+        _handed_out[:] = [scope for scope in _handed_out if scope is not paths]
         for path in paths:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

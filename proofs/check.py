@@ -15,7 +15,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from daygrain.session import build_session  # noqa: E402
+from daygrain.session import build_session, temporary  # noqa: E402
 from proofs.queries import REGISTRY  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -31,8 +31,9 @@ def plain(value):
 def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:
     build, sql = REGISTRY[name]
     began = time.time()
-    df = build(spark, folder)
-    rows = df.collect()
+    with temporary(spark):
+        df = build(spark, folder)
+        rows = df.collect()
     took = time.time() - began
     if sql is None:
         return bool(rows), f"{len(rows)} rows, no SQL, {took:.1f}s"

@@ -29,7 +29,8 @@ def frame(spark, found):
     df = spark.createDataFrame(found, SCHEMA)
     return df.withColumns(
         {
-            "game_date": F.lit("2000-01-01").cast("date"),
+            # Days follow the ids, as they decide the order of rows without a number; some are unknown.
+            "game_date": F.when(F.col("game_id") < "g0350", F.date_add(F.lit("2000-01-01").cast("date"), F.substring("game_id", 2, 3).cast("int"))),
             "home_team": F.lit(True),
             "night_game": F.lit(True),
             "time_of_game_minutes": F.lit(1),
