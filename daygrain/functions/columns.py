@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -76,9 +77,16 @@ def iso_instant(text: Column) -> Column:
     return F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
 
 
+def point(value: object) -> Column:
+    """A literal day or instant; instants carry no zone, whatever the session's is."""
+    if isinstance(value, dt.datetime):
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def in_range(column: Column, start: object, end: object) -> Column:
     """Half-open interval test."""
-    return (column >= F.lit(start)) & (column < F.lit(end))
+    return (column >= point(start)) & (column < point(end))
 
 
 # --- choices ----------------------------------------------------------------

@@ -348,7 +348,7 @@ def _(v):
 )
 def _(v):
     rows = v.table("events").select("event_id", "ts", "value", "event_type")
-    new = rows.where((F.col("event_type") == "view") & (F.col("ts") >= F.lit(dt.datetime(2024, 1, 15, 12)).cast("timestamp_ntz")))
+    new = rows.where((F.col("event_type") == "view") & (F.col("ts") >= C.point(dt.datetime(2024, 1, 15, 12))))
     old = rows.where(F.col("event_type") != "view")
     return merge.consolidate(old.drop("event_type"), new.drop("event_type"), "ts")
 

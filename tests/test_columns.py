@@ -37,6 +37,17 @@ def test_instants(spark):
     assert value(spark, C.hours_earlier(F.lit("2025-01-01 04:03:00").cast("timestamp_ntz"), 5)) == dt.datetime(2024, 12, 31, 23, 3)
 
 
+def test_intervals_ignore_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = F.lit("2024-03-10 02:30:00").cast("timestamp_ntz")
+        assert value(spark, C.in_range(at, dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 2, 31))) is True
+        assert value(spark, C.in_range(at, dt.datetime(2024, 3, 10, 2, 31), dt.datetime(2024, 3, 10, 3))) is False
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_outcome_order_and_unknown_winner(spark):
     label = lambda tie, away, home, won: value(spark, C.outcome_label(*[F.lit(v).cast(t) for v, t in zip((tie, away, home, won), ("boolean", "int", "int", "boolean"))]))
     assert label(True, 1, 1, None) == "tie"

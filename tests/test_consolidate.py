@@ -80,3 +80,17 @@ def test_observation_arrays_and_yearly_sets(spark, tmp_path):
     found = files.read_observations(spark, base, "x", dt.datetime(2024, 12, 1), dt.datetime(2025, 3, 1, 4))
     assert [r.reportTime for r in found.collect()] == [dt.datetime(2024, 12, 31, 23)]
     assert files.read_observations(spark, base, "x").count() == 2
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    from daygrain.streaming.landing import absorb
+
+    table = str(tmp_path / "table")
+    at = lambda d, h: dt.datetime(2025, 3, d, h)
+    schema = "reportTime timestamp_ntz, file_date date"
+    first = spark.createDataFrame([(at(1, 1), dt.date(2025, 3, 1)), (at(2, 5), dt.date(2025, 3, 2))], schema)
+    second = spark.createDataFrame([(at(2, 4), dt.date(2025, 3, 3)), (at(2, 9), dt.date(2025, 3, 3))], schema)
+    for batch in (first, first, second, second, second.where("false")):
+        absorb(batch, table)
+    found = sorted(r.reportTime for r in tables.read_time_range(spark, table, schema).collect())
+    assert found == [at(1, 1), at(2, 4), at(2, 9)]
