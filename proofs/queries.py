@@ -673,6 +673,17 @@ def _(v):
     return stats.logistic_fit(v.days(), "max_temp_deg_f", "team_outcome_as_value")
 
 
+@query("a13_logistic_fit_two_groups", with_views(_STAT, select="""SELECT round(ln(w0 / l0), 6) AS intercept, round(ln(w1 / l1) - ln(w0 / l0), 6) AS slope FROM (
+    SELECT count(*) FILTER (WHERE NOT hot AND won = 1) AS w0, count(*) FILTER (WHERE NOT hot AND won = 0) AS l0,
+           count(*) FILTER (WHERE hot AND won = 1) AS w1, count(*) FILTER (WHERE hot AND won = 0) AS l1
+    FROM (SELECT max_temp_deg_f > avg_max_temp_deg_f AS hot, team_outcome_as_value AS won FROM stat_days))"""))
+def _(v):
+    # With a 0/1 predictor the fit has a closed form: log odds and their difference.
+    days = v.days().withColumn("hot", stats.weather_conditions()["hot"].cast("int"))
+    fit = stats.logistic_fit(days, "hot", "team_outcome_as_value")
+    return fit.select(*[C.round_to(F.col(c), 6).alias(c) for c in ("intercept", "slope")])
+
+
 @query("a14_means_at", with_views(_STAT, select="""SELECT max_temp_deg_f AS x, round(avg(violent_crime_per_100k), 6) AS mean_y, count(*) AS n FROM stat_days
     WHERE max_temp_deg_f IS NOT NULL AND violent_crime_per_100k IS NOT NULL GROUP BY 1"""))
 def _(v):
@@ -684,6 +695,18 @@ def _(v):
     return stats.bootstrap_band(v.days(), "max_temp_deg_f", "violent_crime_per_100k", ["entry_date"], replicates=200, points=20)
 
 
+@query("a15_line_inside_its_band", with_views(_STAT, select="""SELECT round(lo + (hi - lo) / 19 * i, 6) AS x,
+    round(intercept + slope * (lo + (hi - lo) / 19 * i), 6) AS fit, true AS inside FROM (
+    SELECT min(max_temp_deg_f) AS lo, max(max_temp_deg_f) AS hi, regr_slope(violent_crime_per_100k, max_temp_deg_f) AS slope,
+           regr_intercept(violent_crime_per_100k, max_temp_deg_f) AS intercept
+    FROM stat_days WHERE max_temp_deg_f IS NOT NULL AND violent_crime_per_100k IS NOT NULL), (SELECT unnest(range(20)) AS i)"""))
+def _(v):
+    band = stats.bootstrap_band(v.days(), "max_temp_deg_f", "violent_crime_per_100k", ["entry_date"], replicates=200, points=20)
+    return band.select(
+        C.round_to(F.col("x"), 6).alias("x"), C.round_to(F.col("fit"), 6).alias("fit"), F.col("fit").between(F.col("low"), F.col("high")).alias("inside")
+    )
+
+
 @query("a16_presence", with_views(_STAT, select="""SELECT count(report_date) > 0 AS weather, coalesce(sum(total_incidents) <> 0, false) AS crime,
     coalesce(sum(total_precip_inches) <> 0, false) AS rain FROM stat_days"""))
 def _(v):
