@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -36,6 +37,17 @@ def build_session(app: str = "daygrain", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, so that batch functions import there."""
+    context = spark.sparkContext
+    if getattr(context, "_daygrain_sent", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="daygrain-"), "daygrain")
+    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+    context._daygrain_sent = True
+
+
 _handed_out: list[list[str]] = []
 
 
