@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daygrain.llm import ngram_join
+from daygrain.llm import line_runs, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +27,7 @@ WITH RECURSIVE words AS (
     FROM documents
 ), shingles AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
     FROM words
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
@@ -47,6 +48,30 @@ GROUP BY d.doc_id
 """
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of at least 40 characters in at least 5 documents, dropped but in the last document."""
+    done = line_runs.line_dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM lines
+), repeated AS (
+    SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (holder > doc_id) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (holder IS NULL OR holder = doc_id), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (k)
+GROUP BY doc_id
+"""
+
+
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
+    "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
 }
