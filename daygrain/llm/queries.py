@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import line_runs, ngram_join
+from daygrain.llm import line_runs, ngram_join, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,17 @@ GROUP BY d.doc_id
 """
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of at least 40 characters in at least 5 documents, dropped but in the last document."""
     done = line_runs.line_dedup(table(spark, folder, "documents").select("doc_id", "text"))
@@ -72,6 +83,7 @@ GROUP BY doc_id
 
 
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
+    "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
 }
