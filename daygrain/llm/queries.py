@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import line_runs, ngram_join, packing
+from daygrain.llm import decontaminate, line_runs, ngram_join, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,52 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, word for word or with other numbers, names and units."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_NUMBER = "right({0}, 1) BETWEEN '0' AND '9' OR right({0}, 1) = '%'"
+_MARK = "{0} IN ('.', '!', '?', chr(10))"
+_UNITS = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
+OP7_SQL = f"""
+WITH texts AS (
+    SELECT doc_id AS id, true AS is_doc, text FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL SELECT item_id, false, text FROM benchmark WHERE item_id IS NOT NULL
+), found AS (
+    SELECT id, is_doc, regexp_extract_all(text, '{decontaminate.TOKEN}') AS t FROM texts
+), typed AS (
+    SELECT id, is_doc, list_filter(list_transform(t, lambda x, i: CASE
+        WHEN {_MARK.format("x")} THEN NULL
+        WHEN {_NUMBER.format("x")} THEN {{'k': '#', 'v': lower(x)}}
+        WHEN lower(left(x, 1)) <> left(x, 1) AND i > 1 AND NOT ({_MARK.format("t[i - 1]")}) THEN {{'k': '^', 'v': lower(x)}}
+        WHEN i > 1 AND ({_NUMBER.format("t[i - 1]")}) AND lower(x) IN ({_UNITS}) THEN {{'k': '~', 'v': lower(x)}}
+        ELSE {{'k': lower(x), 'v': lower(x)}} END), lambda x: x IS NOT NULL) AS s
+    FROM found
+), windows AS (
+    SELECT id, is_doc, p, s[p:p + 4] AS w, array_to_string(list_transform(s[p:p + 4], lambda x: x.k), chr(31)) AS key
+    FROM (SELECT *, unnest(range(1, len(s) - 3)) AS p FROM typed WHERE len(s) >= 5)
+), total AS (
+    SELECT id AS item_id, count(*) AS n_windows FROM windows WHERE NOT is_doc GROUP BY id
+), met AS (
+    SELECT d.id AS doc_id, i.id AS item_id, i.p AS item_pos, d.p - i.p AS shift, d.w AS dw, i.w AS iw
+    FROM windows d JOIN windows i ON d.is_doc AND NOT i.is_doc AND d.key = i.key
+), slots AS (
+    SELECT DISTINCT doc_id, item_id, shift, item_pos + j AS pos, iw[j].k AS kind, iw[j].v AS asked, dw[j].v AS given
+    FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS j FROM met) WHERE iw[j].k IN ('#', '^', '~')
+), clashes AS (
+    SELECT DISTINCT doc_id, item_id, shift FROM slots GROUP BY doc_id, item_id, shift, kind, asked HAVING count(DISTINCT given) > 1
+), good AS (
+    SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_found FROM met ANTI JOIN clashes USING (doc_id, item_id, shift) GROUP BY ALL
+), seen AS (
+    SELECT doc_id, item_id, count(DISTINCT pos) AS n_slots, count(DISTINCT pos) FILTER (asked <> given) AS n_changed
+    FROM slots ANTI JOIN clashes USING (doc_id, item_id, shift) GROUP BY ALL
+)
+SELECT doc_id, item_id, n_windows, n_found, coalesce(n_slots, 0) AS n_slots, coalesce(n_changed, 0) AS n_changed
+FROM good JOIN total USING (item_id) LEFT JOIN seen USING (doc_id, item_id) WHERE 100 * n_found >= 80 * n_windows
+"""
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of at least 40 characters in at least 5 documents, dropped but in the last document."""
     done = line_runs.line_dedup(table(spark, folder, "documents").select("doc_id", "text"))
@@ -84,6 +130,7 @@ GROUP BY doc_id
 
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op3_best_fit_packing": (op3_best_fit_packing, None),
+    "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
 }
