@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, line_runs, ngram_join, packing
+from daygrain.llm import decontaminate, language, line_runs, ngram_join, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,19 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document; sources are the hosts, and a source's texts in one language a path."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "lang")
+    return quality.quality(docs, table(spark, folder, "labels"), F.col("source"), path)
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the labelled ones."""
+    docs = table(spark, folder, "documents")
+    return language.languages(docs, language.learn(docs))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, word for word or with other numbers, names and units."""
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -130,6 +143,8 @@ GROUP BY doc_id
 
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op3_best_fit_packing": (op3_best_fit_packing, None),
+    "op4_quality_classifier": (op4_quality_classifier, None),
+    "op5_language_id": (op5_language_id, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
