@@ -7,15 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from daygrain.llm import decontaminate, language, line_runs, ngram_join, packing, quality
+from daygrain.llm.tables import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document: five-word shingles, similarity of at least 0.8."""
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
@@ -48,12 +46,6 @@ GROUP BY d.doc_id
 """
 
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -141,6 +133,11 @@ GROUP BY doc_id
 """
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over the documents."""
+    return corpus_pipeline.run(spark, folder)
+
+
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_classifier": (op4_quality_classifier, None),
@@ -148,4 +145,5 @@ LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
+    "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
