@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from daygrain.llm import decontaminate, language, line_runs, ngram_join, packing, quality
+from daygrain.llm import decontaminate, language, line_runs, ngram_join, packing, pq_dedup, quality
 from daygrain.llm.tables import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,30 @@ GROUP BY d.doc_id
 """
 
 
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors with a cosine of at least 0.9, and the classes they form."""
+    return pq_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), component AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counted AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON component.a = vec_id LEFT JOIN counted ON counted.a = vec_id
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -139,6 +163,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
+    "op1_embedding_near_dedup": (op1_embedding_near_dedup, OP1_SQL),
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_classifier": (op4_quality_classifier, None),
     "op5_language_id": (op5_language_id, None),
