@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from daygrain.llm import decontaminate, language, line_runs, ngram_join, packing, pq_dedup, quality
+from daygrain.llm import decontaminate, html_text, language, licenses, line_runs, ngram_join, packing, pq_dedup, quality, token_counts
 from daygrain.llm.tables import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in every document."""
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document: five-word shingles, similarity of at least 0.8."""
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
@@ -70,6 +75,11 @@ FROM embeddings JOIN component ON component.a = vec_id LEFT JOIN counted ON coun
 """
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram tokens of every document under a public vocabulary."""
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -88,6 +98,11 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(docs, language.learn(docs))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, word for word or with other numbers, names and units."""
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -164,11 +179,14 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_embedding_near_dedup": (op1_embedding_near_dedup, OP1_SQL),
+    "op2_token_counts": (op2_token_counts, None),
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_classifier": (op4_quality_classifier, None),
     "op5_language_id": (op5_language_id, None),
+    "op6_html_extraction": (op6_html_extraction, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, OP7_SQL),
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
+    "op10_license_scans": (op10_license_scans, None),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
