@@ -13,14 +13,16 @@ from daygrain.session import cut, fresh_folder
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known surely enough; the others go."""
     found = language.languages(docs, language.learn(docs))
-    rejected = cut(found.where("rejected").select("doc_id").distinct())
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+    # The decision depends on the text alone, so it goes by the text: rows may lack an id or share one.
+    rejected = cut(found.where("rejected").select("text_hash").distinct()).toDF("_rejected")
+    return docs.join(rejected, F.xxhash64(docs["text"]) == F.col("_rejected"), "left_anti").select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the long lines that a later one of many holds too."""
-    done = line_runs.line_dedup(docs).withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("bigint"))
-    return done.select(docs.columns)
+    done = line_runs.line_dedup(docs.select("doc_id", "text", F.struct("*").alias("row")))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
+    return done.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,14 +25,14 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> subword.Model:
 
 
 def languages(docs: DataFrame, model: subword.Model) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, rejected) of every row of ``docs`` (doc_id, text; more columns are ignored).
+    """(doc_id, held_out, lang_pred, score, rejected, text_hash) of every row of ``docs`` (doc_id, text; more columns are ignored).
 
     A text that is null or has no letter is ``und`` with score 0, and rejected. So is, with its own
     prediction kept, a text whose score lies below the calibrated threshold. Held out is false for
-    rows without doc_id. Every row gives a row.
+    rows without doc_id. Every row gives a row; text_hash tells rows apart that have no id.
     """
-    key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    scored = subword.score(docs, model, key, "struct<doc_id:bigint,letters:boolean>")
+    key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), F.xxhash64("text").alias("text_hash"))
+    scored = subword.score(docs, model, key, "struct<doc_id:bigint,letters:boolean,text_hash:bigint>")
     known = F.col("key.letters") & F.col("label").isNotNull()
     return scored.select(
         "key.doc_id",
@@ -40,4 +40,5 @@ def languages(docs: DataFrame, model: subword.Model) -> DataFrame:
         F.when(known, F.col("label")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(known, F.col("score")).otherwise(0.0).alias("score"),
         (~known | (F.col("score") < model.reject_below)).alias("rejected"),
+        "key.text_hash",
     )

@@ -92,7 +92,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     hold, is dropped everywhere but in the document of the largest id that holds it (where all its
     occurrences stay). Null and empty text are one empty line, kept. A row without doc_id keeps its
     lines and does not count as a holder; rows of one doc_id count as one document. Other columns
-    are passed through; the names kept, n_lines, n_dropped are taken.
+    are passed through, but for those named kept, n_lines or n_dropped.
     """
     lines = cut(long_lines(docs, min_chars))
     # Boundaries only spread the work: any would give the same result.
@@ -109,22 +109,23 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         runs.absorb(batch.select("doc_id", *KEY))
     repeated = cut(runs.repeated(min_docs))
     places = lines.join(repeated, KEY).where("doc_id < holder").groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
-    gone = cut(places).select(F.col("doc_id").alias("gone_doc"), F.col("row_hash").alias("gone_row"), "gone")
-    joined = docs.join(gone, (docs["doc_id"] == F.col("gone_doc")) & (F.xxhash64(docs["text"]) == F.col("gone_row")), "left")
+    gone = cut(places).toDF("_gone_doc", "_gone_row", "_gone")
+    joined = docs.join(gone, (docs["doc_id"] == F.col("_gone_doc")) & (F.xxhash64(docs["text"]) == F.col("_gone_row")), "left")
     # Between one dropped line and the next, whole slices stay: linear in the number of lines.
-    return (
-        joined.withColumn("kept", split_lines(docs["text"]))
-        .withColumn("n_lines", F.size("kept").cast("bigint"))
-        .withColumn("n_dropped", F.coalesce(F.size("gone"), F.lit(0)).cast("bigint"))
-        .withColumn("kept", F.when(F.col("n_dropped") > 0, F.array_join(_slices(), "\n")).otherwise(F.coalesce(docs["text"], F.lit(""))))
-        .drop("gone_doc", "gone_row", "gone")
+    split = joined.withColumn("_lines", split_lines(docs["text"]))
+    kept = F.when(F.size("_gone") > 0, F.array_join(_slices(), "\n")).otherwise(F.coalesce(docs["text"], F.lit("")))
+    return split.select(
+        *[docs[c] for c in docs.columns if c not in ("kept", "n_lines", "n_dropped")],
+        kept.alias("kept"),
+        F.size("_lines").cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
 
 
 def _slices() -> Column:
-    """The array ``kept`` without the places in the sorted array ``gone``."""
+    """The array ``_lines`` without the places in the sorted array ``_gone``."""
     return F.expr(
-        """flatten(transform(sequence(0, size(gone)), j ->
-            slice(kept, if(j = 0, 1, gone[greatest(j, 1) - 1] + 2),
-                  if(j = size(gone), size(kept), gone[least(j, size(gone) - 1)]) - if(j = 0, 0, gone[greatest(j, 1) - 1] + 1))))"""
+        """flatten(transform(sequence(0, size(_gone)), j ->
+            slice(_lines, if(j = 0, 1, _gone[greatest(j, 1) - 1] + 2),
+                  if(j = size(_gone), size(_lines), _gone[least(j, size(_gone) - 1)]) - if(j = 0, 0, _gone[greatest(j, 1) - 1] + 1))))"""
     )
