@@ -12,7 +12,8 @@ is the larger partner) indexes the content of each of its non-empty segments.
   segments (a segment then detects up to one difference, so it counts twice), and where even that
   is too little, single elements. A pair needs the guarantee of one of its two sets, so only pairs
   of two such sets depend on the finer index, and both are in it.
-* Candidates are verified by exact intersection. Links inside a class that is already connected
+* Candidates are verified by exact intersection, after a bound that a join can test: every element
+  flips one of 512 parities, so sets differ in no fewer elements than their parities do. Links inside a class that is already connected
   cannot change it, so first every set is compared with the smallest one it shares a segment with,
   and then only sets of different classes are compared: large groups of near copies cost a star.
 """
@@ -20,10 +21,11 @@ is the larger partner) indexes the content of each of its non-empty segments.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.llm.components import components
@@ -83,16 +85,28 @@ def signatures(elements: np.ndarray, bands: list[tuple[int, int]], band: int, sm
         yield band * 3 + 2, n - needed, mixed(mass ^ np.uint64(3 * band + 2))
 
 
+PARITIES = [f"p{k}" for k in range(8)]
+MARKS = ", ".join(f"{p} bigint" for p in PARITIES)
+
+
+def parities(elements: np.ndarray) -> np.ndarray:
+    """512 bits in eight words: the parity of how many elements hash to each bit."""
+    bits = np.bincount((elements & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _profiles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, first, second = [], [], []
+            sizes, first, second, bits = [], [], [], []
             for found in shingle_sets(batch.column("text"), words):
                 sizes.append(len(found))
+                bits.append(parities(found))
                 first.append(int(mixed(found).sum()) if len(found) else 0)
                 second.append(int(mixed(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()) if len(found) else 0)
             keys = [pa.array(np.array(k, np.uint64).view(np.int64)) for k in (first, second)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), *keys], ["doc_id", "n_shingles", "k1", "k2"])
+            marks = [pa.array(b) for b in np.array(bits, np.int64).reshape(-1, len(PARITIES)).T]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), *keys, *marks], ["doc_id", "n_shingles", "k1", "k2", *PARITIES])
 
     return run
 
@@ -140,6 +154,13 @@ def _sets(words: int):
     return run
 
 
+def may_link(one: str, two: str) -> Column:
+    """Whether the sizes and parities of two sets leave room for a link."""
+    a, b = F.col(f"{one}.size"), F.col(f"{two}.size")
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{one}.{p}").bitwiseXOR(F.col(f"{two}.{p}"))) for p in PARITIES])
+    return (100 * F.least(a, b) >= PER_CENT * F.greatest(a, b)) & (differ * (100 + PER_CENT) <= (a + b) * (100 - PER_CENT))
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = []
@@ -151,8 +172,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of a stored table whose sets are similar enough; sets are made of their documents only."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = cut(texts.join(cut(wanted), "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id bigint, elements binary"))
     left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
@@ -168,9 +191,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     ship(docs.sparkSession)
     texts = docs.select("doc_id", "text")
-    profile = cut(texts.mapInArrow(_profiles(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint"))
+    profile = cut(texts.mapInArrow(_profiles(words), f"doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, {MARKS}"))
     filled = profile.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    marks = filled.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), *PARITIES)
     member = cut(filled.join(classes, ["k1", "k2"]).select("doc_id", "rep", "n_shingles").distinct())
 
     # Signatures that two documents at least have; a window that looks one row back and ahead holds no group.
@@ -189,10 +213,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     dearest = Window.partitionBy("rep", "plan").orderBy(F.desc("n"), "sig")
     index_rows = cut(counted.withColumn("place", F.row_number().over(dearest)).select("sig", "rep", "leader", (F.col("place") > F.col("spare")).alias("probes")))
 
-    wanted = index_rows.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut(texts.join(cut(wanted), "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id bigint, elements binary"))
-    first = index_rows.where("probes AND rep <> leader").groupBy(F.col("rep").alias("b")).agg(F.min("leader").alias("a"))
-    links = cut(linked(first, sets))
+    stars = index_rows.where("probes AND rep <> leader").select("rep", "leader").distinct()
+    stars = stars.join(marks, "rep").alias("one").join(marks.withColumnRenamed("rep", "leader").alias("two"), "leader").where(may_link("one", "two"))
+    links = cut(linked(cut(stars.groupBy(F.col("rep").alias("b")).agg(F.min("leader").alias("a"))), texts, words))
     group = cut(components(links))
 
     # All that is left: sets of different classes that share a signature at least one of them looks up.
@@ -202,21 +225,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     # The class of most members is compared with the others only, never with itself.
     sizes = placed.join(mixed_buckets.select("sig"), "sig").groupBy("sig", "group").agg(F.count("*").alias("n"))
     main = sizes.groupBy("sig").agg(F.max(F.struct("n", "group")).alias("top")).select("sig", F.col("top.group").alias("main"))
-    there = cut(placed.join(main, "sig").select("sig", "rep", "group", "probes", (F.col("group") == F.col("main")).alias("is_main")))
+    there = cut(placed.join(main, "sig").join(marks, "rep").select("sig", "rep", "group", "probes", "size", *PARITIES, (F.col("group") == F.col("main")).alias("is_main")))
     one, two = there.where("NOT is_main").alias("one"), there.alias("two")
-    crossing = (
-        one.join(two, (F.col("one.sig") == F.col("two.sig")) & (F.col("one.group") != F.col("two.group")) & (F.col("one.probes") | F.col("two.probes")))
+    apart = (F.col("one.group") != F.col("two.group")) & (F.col("one.probes") | F.col("two.probes"))
+    near = (
+        one.join(two, (F.col("one.sig") == F.col("two.sig")) & apart & may_link("one", "two"))
         .select(F.least("one.rep", "two.rep").alias("a"), F.greatest("one.rep", "two.rep").alias("b"))
         .distinct()
     )
-    size = member.where("doc_id = rep").groupBy("rep").agg(F.max("n_shingles").alias("size"))
-    near = (
-        crossing.join(size.select(F.col("rep").alias("a"), F.col("size").alias("size_a")), "a")
-        .join(size.select(F.col("rep").alias("b"), F.col("size").alias("size_b")), "b")
-        .where(f"100 * least(size_a, size_b) >= {PER_CENT} * greatest(size_a, size_b)")
-        .select("a", "b")
-    )
-    more = linked(near, sets)
+    more = linked(cut(near), texts, words)
     copies = member.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     everything = components(links.union(more).union(copies)).withColumnRenamed("id", "doc_id")
     return profile.select("doc_id", "n_shingles").join(everything, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
