@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrain.session import settle
-
 
 def consolidate(existing: DataFrame | None, new: DataFrame, time: str = "reportTime", keys: Sequence[str] = ()) -> DataFrame:
     """Replace the tail: stored rows from the new batch's first instant on give way to the batch.
@@ -22,7 +20,7 @@ def consolidate(existing: DataFrame | None, new: DataFrame, time: str = "reportT
     begins, some = F.min(time), F.count(F.lit(1)) > 0
     if keys:
         firsts = new.groupBy(*keys).agg(begins.alias("__first"), some.alias("__some"))
-        firsts = settle(firsts.withColumnsRenamed({k: f"__of_{k}" for k in keys}))
+        firsts = firsts.withColumnsRenamed({k: f"__of_{k}" for k in keys})
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
         beside = existing.join(firsts, same, "left")
         kept = beside.where(~F.coalesce(F.col("__some"), F.lit(False)) | (F.col(time) < F.col("__first")))
@@ -36,18 +34,18 @@ def recompile(files: DataFrame, file_date: str, time: str = "reportTime", keys:
     """All daily files of a year at once, equal to consolidating them one by one in date order.
 
     A row survives if it lies before the first instant of every later file. Only one
-    small row per file is ordered, and its real size decides how the limits are joined.
+    small row per file is ordered; adaptive execution joins the limits by their real size.
     """
     keys = list(keys)
     per_file = files.groupBy(*keys, file_date).agg(F.min(time).alias("__first"))
     later = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(file_date).rowsBetween(1, Window.unboundedFollowing)
-    limits = settle(per_file.select(
+    limits = per_file.select(
         *keys,
         file_date,
         F.min("__first").over(later).alias("__limit"),
         F.count(F.lit(1)).over(later).alias("__later"),
         F.count_if(F.col("__first").isNull()).over(later).alias("__undated"),
-    ).withColumnsRenamed({k: f"__of_{k}" for k in [*keys, file_date]}))
+    ).withColumnsRenamed({k: f"__of_{k}" for k in [*keys, file_date]})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in [*keys, file_date]])
     survives = (F.col("__later") == 0) | ((F.col("__undated") == 0) & (F.col(time) < F.col("__limit")))
     return files.join(limits, same).where(survives).select(*files.columns)

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from daygrain.session import cut, settle
+from daygrain.session import cut
 
 # Rows a window may hold per group and task. Larger chunks mean fewer rows carried between them.
 CHUNK_ROWS = 1 << 18
@@ -62,7 +62,8 @@ def add_carried(
         .orderBy(F.col(chunk).asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = settle(
+    # One row per chunk, stored: the planner then knows its real size, and need not shuffle the rows.
+    carried = cut(
         per_chunk.select(*keys, chunk, *[F.sum(local).over(earlier).alias(b) for local, b in before.items()])
         .where(reduce(lambda a, b: a | b, [F.col(b) > 0 for b in before.values()]))
         .withColumnsRenamed({k: f"__of_{k}" for k in [*keys, chunk]})

@@ -12,11 +12,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.functions.columns import round_to
+from daygrain.functions.columns import absent_nan, round_to
+from daygrain.session import cut, ship
 
 Conditions = Mapping[str, Column]
 
 
+def number(column: str | Column) -> Column:
+    """A double; NaN counts as absent, like NULL."""
+    return absent_nan((F.col(column) if isinstance(column, str) else column).cast("double"))
+
+
 # --- conditions -------------------------------------------------------------
 
 
@@ -59,7 +65,7 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
 def presence(df: DataFrame, counted: Mapping[str, str], summed: Mapping[str, str]) -> DataFrame:
     """Which groups of fields hold data: non-NULL count or non-zero sum, one boolean each."""
     tests = [(F.count(c) > 0).alias(name) for name, c in counted.items()]
-    tests += [F.coalesce(F.sum(c) != 0, F.lit(False)).alias(name) for name, c in summed.items()]
+    tests += [F.coalesce(F.sum(number(c)) != 0, F.lit(False)).alias(name) for name, c in summed.items()]
     return df.agg(*tests)
 
 
@@ -69,9 +75,9 @@ def conditional_means(df: DataFrame, metrics: Mapping[str, str], conditions: Con
     All of it is one aggregation; the single wide row is then turned into
     (metric, condition, mean, delta).
     """
-    cells = [F.avg(c).alias(f"{i}__all") for i, c in enumerate(metrics.values())]
+    cells = [F.avg(number(c)).alias(f"{i}__all") for i, c in enumerate(metrics.values())]
     for name, condition in conditions.items():
-        cells += [F.avg(F.when(condition, F.col(c))).alias(f"{i}__{name}") for i, c in enumerate(metrics.values())]
+        cells += [F.avg(F.when(condition, number(c))).alias(f"{i}__{name}") for i, c in enumerate(metrics.values())]
     wide = df.agg(*cells)
     rows = []
     for i, metric in enumerate(metrics):
@@ -118,9 +124,10 @@ _PAIR_NAMES = ["i", "j", "n", "x_sum", "y_sum", "x_squares", "y_squares", "produ
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson over complete pairs; NULL without spread (ANSI ``corr`` would raise)."""
+    """Pearson over complete pairs; NULL without spread (ANSI ``corr`` would raise). NaN is absent."""
+    x, y = number(x), number(y)
     both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -148,8 +155,9 @@ def correlation_matrix(df: DataFrame, fields: Sequence[str], digits: int = 2) ->
     cheap aggregation, so that plain sums lose no digits. A batch leaves one row per pair,
     folded again per task before it is shuffled.
     """
-    means = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(fields)])).scalar()
-    held = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(fields)], means.alias("m"))
+    ship(df.sparkSession)
+    means = df.agg(F.struct(*[F.avg(number(c)).alias(f"f{i}") for i, c in enumerate(fields)])).scalar()
+    held = df.select(*[number(c).alias(f"f{i}") for i, c in enumerate(fields)], means.alias("m"))
     centred = held.select(*[(F.col(f"f{i}") - F.col(f"m.f{i}")).alias(f"f{i}") for i in range(len(fields))])
     schema = "i int, j int, " + ", ".join(f"{n} double" for n in _PAIR_NAMES[2:])
     total = centred.mapInArrow(_pair_sums, schema).groupBy("i", "j").agg(
@@ -180,7 +188,7 @@ def linear_fit(df: DataFrame, x: str, y: str, swap: bool = False) -> DataFrame:
     """Least-squares line of y on x (or of x on y)."""
     if swap:
         x, y = y, x
-    a, b = F.col(y).cast("double"), F.col(x).cast("double")
+    a, b = number(y), number(x)
     return df.agg(
         F.regr_slope(a, b).alias("slope"),
         F.regr_intercept(a, b).alias("intercept"),
@@ -190,21 +198,32 @@ def linear_fit(df: DataFrame, x: str, y: str, swap: bool = False) -> DataFrame:
 
 
 def means_at(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Mean of y at each distinct x, over complete pairs."""
-    complete = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return complete.groupBy(F.col(x).alias("x")).agg(F.avg(F.col(y).cast("double")).alias("mean_y"), F.count(F.lit(1)).alias("n"))
+    """Mean of y at each distinct x, over complete pairs; NaN is absent."""
+    complete = df.where(number(x).isNotNull() & number(y).isNotNull())
+    return complete.groupBy(F.col(x).alias("x")).agg(F.avg(number(y)).alias("mean_y"), F.count(F.lit(1)).alias("n"))
 
 
 def logistic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Unpenalised logistic regression of a 0/1 column; one row with both coefficients."""
+    """Unpenalised logistic regression of a 0/1 column: (intercept, slope, classes, converged), one row.
+
+    The rows are folded to counts of (x, y) first, so the iterations never go back to the source.
+    There is no finite fit, and both coefficients are NULL, without rows of both classes, without
+    spread in x, and where a value of x parts the classes; ``converged`` is then false.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
-    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("label")).dropna()
-    points = VectorAssembler(inputCols=["x"], outputCol="features").transform(pairs)
-    model = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=50, tol=1e-10).fit(points)
-    schema = "intercept double, slope double"
-    return df.sparkSession.createDataFrame([(float(model.intercept), float(model.coefficients[0]))], schema)
+    pairs = df.select(number(x).alias("x"), number(y).alias("label")).dropna()
+    counts = cut(pairs.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    sides = {r["label"]: (r["low"], r["high"]) for r in counts.groupBy("label").agg(F.min("x").alias("low"), F.max("x").alias("high")).orderBy("label").limit(3).collect()}
+    schema = "intercept double, slope double, classes int, converged boolean"
+    parted = len(sides) != 2 or sides[0.0][1] <= sides[1.0][0] or sides[1.0][1] <= sides[0.0][0]
+    if parted:
+        return df.sparkSession.createDataFrame([(None, None, len(sides), False)], schema)
+    points = VectorAssembler(inputCols=["x"], outputCol="features").transform(counts)
+    model = GeneralizedLinearRegression(family="binomial", link="logit", weightCol="n", regParam=0.0, maxIter=50, tol=1e-10).fit(points)
+    found = (float(model.intercept), float(model.coefficients[0]), 2, model.summary.numIterations < 50)
+    return df.sparkSession.createDataFrame([found], schema)
 
 
 def bootstrap_band(
@@ -221,20 +240,23 @@ def bootstrap_band(
 
     Replicates weigh rows by Poisson(1) draws. A draw depends on the row's ``key``, the
     replicate and the seed only, so a lost task repeats it exactly. Rows are folded into
-    six sums per replicate before anything is shuffled.
+    five sums per replicate before anything is shuffled. Where all x are equal there is no
+    line, and the one row of that x has NULLs.
     """
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        F.col(x).cast("double").alias("x"),
-        F.col(y).cast("double").alias("y"),
+    pairs = df.where(number(x).isNotNull() & number(y).isNotNull()).select(
+        number(x).alias("x"),
+        number(y).alias("y"),
         F.xxhash64(F.lit(seed), *key).alias("__row"),
     )
+    # About its centre a line loses no digits, however far from zero the data lie.
+    facts = pairs.agg(F.struct(F.avg("x").alias("x"), F.avg("y").alias("y"), F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
     drawn = pairs.select("x", "y", "__row", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("replicate"))
     uniform = F.shiftrightunsigned(F.xxhash64("__row", "replicate"), 11) / F.lit(float(2**53))
     # Replicate 0 is the data itself.
     weight = F.when(F.col("replicate") == 0, F.lit(1.0)).otherwise(poisson_of(uniform))
-    w, a, b = F.col("w"), F.col("x"), F.col("y")
+    w, a, b = F.col("w"), F.col("x") - F.col("facts.x"), F.col("y") - F.col("facts.y")
     sums = (
-        drawn.withColumn("w", weight)
+        drawn.withColumns({"w": weight, "facts": facts})
         .where(w > 0)
         .groupBy("replicate")
         .agg(
@@ -247,11 +269,11 @@ def bootstrap_band(
     )
     slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
     lines = sums.select("replicate", slope.alias("slope"), ((F.col("sy") - slope * F.col("sx")) / F.col("n")).alias("intercept"))
-    low, high = pairs.agg(F.min("x")).scalar(), pairs.agg(F.max("x")).scalar()
-    ranged = lines.withColumns({"lo": low, "step": (high - low) / F.lit(float(points - 1))})
-    steps = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("lo") + F.col("step") * i)
-    predicted = ranged.select("replicate", "slope", "intercept", F.explode(steps).alias("x"))
-    predicted = predicted.withColumn("value", F.col("intercept") + F.col("slope") * F.col("x"))
+    ranged = lines.withColumn("facts", facts)
+    ranged = ranged.withColumn("step", (F.col("facts.high") - F.col("facts.low")) / F.lit(float(points - 1)))
+    steps = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("facts.low") + F.col("step") * i)
+    predicted = ranged.select("replicate", "slope", "intercept", "facts", F.explode(steps).alias("x"))
+    predicted = predicted.withColumn("value", F.col("facts.y") + F.col("intercept") + F.col("slope") * (F.col("x") - F.col("facts.x")))
     tail = (1.0 - level) / 2.0
     resampled = F.when(F.col("replicate") > 0, F.col("value"))
     return predicted.groupBy("x").agg(
@@ -261,13 +283,14 @@ def bootstrap_band(
     )
 
 
-def poisson_of(uniform: Column, most: int = 12) -> Column:
-    """Poisson(1) draw from a uniform number in [0, 1) by its distribution function."""
-    share, total, bounds = 2.718281828459045**-1, 0.0, []
-    for k in range(most):
+def poisson_of(uniform: Column) -> Column:
+    """Poisson(1) draw from a uniform number in [0, 1) by its distribution function, to the end of it in doubles."""
+    share, total, bounds, k = 2.718281828459045**-1, 0.0, [], 0
+    while total + share > total and total + share < 1.0:
         total += share
         bounds.append(total)
-        share /= k + 1
+        k += 1
+        share /= k
     return reduce(lambda a, b: a + b, [F.when(uniform >= bound, F.lit(1.0)).otherwise(F.lit(0.0)) for bound in bounds])
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +32,11 @@ def observations(spark: SparkSession, landing: str, city: str, start: dt.datetim
 
 
 def station_days(spark: SparkSession, landing: str, city: str, start: dt.date, end: dt.date, as_of: dt.date) -> DataFrame:
-    """Newest station report; raises when none is recent enough."""
+    """Newest station report, all its files; raises when none is recent enough."""
     paths = snapshots.list_paths(spark, f"{landing}/{STATION_REPORTS.format(city=city)}", "*.csv")
     newest = snapshots.require_snapshot(paths, *snapshots.station_window(as_of))
-    rows = files.read_csv_after_preamble(spark, newest[0], skip=1).toDF(*schemas.STATION_DAY_HEADER)
+    parts = [files.read_csv_after_preamble(spark, path, skip=1).toDF(*schemas.STATION_DAY_HEADER) for path in sorted(newest)]
+    rows = reduce(DataFrame.unionByName, parts)
     rows = rows.withColumn("date", F.to_date("date", "yyyy-MM-dd"))
     return rows.where(in_range(F.col("date"), start, end))
 

@@ -85,18 +85,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Make sure the planner does not overrate a join side that is probably small.
-
-    The estimate for an aggregate over a huge table is huge, and the other side would be
-    shuffled before the truth is known. Unless the estimate already allows a broadcast,
-    the side is stored, and its real size decides.
-    """
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    allowed = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return df if estimate <= allowed else cut(df)
-
-
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Remove the folders handed out inside, once the result has been written."""

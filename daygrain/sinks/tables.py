@@ -86,11 +86,13 @@ def write_time_range(df: DataFrame, table: str, time_column: str, start: dt.date
     """Replace the days of [start, end) by the rows of ``df`` that fall into them.
 
     New days are swapped in first; days of the interval that got no new file have
-    become empty and are dropped after that. All other days stay untouched.
+    become empty and are dropped after that. All other days stay untouched. A row without
+    a time belongs to no day and raises.
     """
     spark = df.sparkSession
     days = F.col(time_column).cast("date")
-    inside = df.where((days >= F.lit(start)) & (days < F.lit(end))).withColumn("day", days)
+    undated = F.raise_error(F.lit(f"a row has no {time_column}")).cast("boolean")
+    inside = df.where(F.when(days.isNull(), undated).otherwise((days >= F.lit(start)) & (days < F.lit(end)))).withColumn("day", days)
 
     before = {path: set(_children(spark, path)) for path in _day_folders(spark, table, start, end)}
     (

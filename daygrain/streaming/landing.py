@@ -16,10 +16,11 @@ from daygrain.sources.snapshots import DATE_IN_PATH
 
 
 def landing_stream(spark: SparkSession, landing: str, pattern: str = DATE_IN_PATH, schema: T.StructType = schemas.OBSERVATION) -> DataFrame:
-    """New JSON arrays below ``landing`` with the date from their path."""
+    """New JSON arrays below ``landing`` with the date from their path; what does not parse fails the batch."""
     rows = (
         spark.readStream.schema(schema)
         .option("multiLine", "true")
+        .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
         .option("timestampNTZFormat", schemas.ISO_INSTANT)
         .json(landing)

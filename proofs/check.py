@@ -36,7 +36,7 @@ def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:
         rows = df.collect()
     took = time.time() - began
     if sql is None:
-        return bool(rows), f"{len(rows)} rows, no SQL, {took:.1f}s"
+        return False, f"{len(rows)} rows, no SQL to compare with, {took:.1f}s"
     found = con.execute(sql)
     names = [d[0] for d in found.description]
     expected = found.fetchall()

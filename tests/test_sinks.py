@@ -53,16 +53,11 @@ def test_time_range_with_no_rows_empties_the_interval(spark, rows, tmp_path):
     assert rows(tables.read_time_range(spark, table, "d date, v string")) == [(day(1), "a")]
 
 
-def test_intermediates_are_removed_and_small_sides_left_alone(spark):
-    from daygrain.session import cut, settle, temporary
+def test_intermediates_are_removed(spark):
+    from daygrain.session import cut, temporary
 
     with temporary(spark):
         kept = cut(spark.range(5))
         path = kept.inputFiles()[0].removeprefix("file://").removeprefix("file:")
         assert os.path.exists(path) and kept.count() == 5
     assert not os.path.exists(os.path.dirname(path))
-    small = spark.range(5)
-    assert settle(small) is small
-    large = spark.range(10**9).groupBy((F.col("id") % 3).alias("k")).count().where("k < 0")
-    with temporary(spark):
-        assert settle(large).inputFiles() != large.inputFiles() or settle(large) is not large
