@@ -668,7 +668,7 @@ def _(v):
     return fits[0].unionByName(fits[1])
 
 
-@query("a13_logistic_fit", with_views(_STAT, select="""WITH RECURSIVE counts AS (
+@query("a13_logistic_fit", with_views(_STAT, select="""SELECT * FROM (WITH RECURSIVE counts AS (
     SELECT CAST(max_temp_deg_f AS DOUBLE) AS x, CAST(team_outcome_as_value AS DOUBLE) AS y, count(*) AS n FROM stat_days
     WHERE max_temp_deg_f IS NOT NULL AND team_outcome_as_value IS NOT NULL GROUP BY 1, 2
 ), centre AS (SELECT sum(n * x) / sum(n) AS c FROM counts), newton AS (
@@ -678,7 +678,7 @@ def _(v):
         SELECT step, a, b, sum(n * (y - p)) AS ga, sum(n * (y - p) * x) AS gb, sum(n * p * (1 - p)) AS haa, sum(n * p * (1 - p) * x) AS hab, sum(n * p * (1 - p) * x * x) AS hbb
         FROM (SELECT step, a, b, n, y, x - c AS x, 1 / (1 + exp(-(a + b * (x - c)))) AS p FROM newton, counts, centre WHERE step < 30)
         GROUP BY step, a, b)
-) SELECT round(a - b * c, 6) AS intercept, round(b, 6) AS slope, CAST(2 AS INTEGER) AS classes, true AS converged FROM newton, centre WHERE step = 30"""))
+) SELECT round(a - b * c, 6) AS intercept, round(b, 6) AS slope, CAST(2 AS INTEGER) AS classes, true AS converged FROM newton, centre WHERE step = 30)"""))
 def _(v):
     fit = stats.logistic_fit(v.days(), "max_temp_deg_f", "team_outcome_as_value")
     return fit.withColumns({c: C.round_to(F.col(c), 6) for c in ("intercept", "slope")})
