@@ -19,7 +19,7 @@ from daygrain.sinks import tables
 from daygrain.sources import files, schemas, snapshots
 from daygrain.streaming import landing as stream
 from proofs import landing
-from proofs.views import AREA, CATEGORIES, SQL, TEAM, Views, with_views
+from proofs.views import AREA, CATEGORIES, SQL, TEAM, Views, no_day, with_views, workday
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -114,28 +114,31 @@ def _(v):
     return rows.where(C.in_range(F.col("date"), dt.date(1996, 1, 1), dt.date(1999, 1, 1)))
 
 
+CENSUS_YEARS = range(1992, 1999)
+
+
 def wide_counts(v: Views) -> DataFrame:
     """Orders per customer and year, one column per year, as a census file line: rank, area, years."""
     year = F.year("o_orderdate")
     counts = v.table("orders").groupBy("o_custkey").agg(
-        *[(F.count_if(year == y) * 1000).alias(str(y)) for y in (1996, 1997, 1998)]
+        *[(F.count_if(year == y) * 1000).alias(str(y)) for y in CENSUS_YEARS]
     )
-    grouped = [F.format_number(str(y), 0) for y in (1996, 1997, 1998)]
+    grouped = [F.format_number(str(y), 0) for y in CENSUS_YEARS]
     return counts.select(F.concat_ws(",", F.lit("x"), F.concat(F.lit("area "), "o_custkey"), *[F.concat(F.lit('"'), g, F.lit('"')) for g in grouped]).alias("line"))
 
 
 LONG_COUNTS = """SELECT 'area ' || o_custkey AS geographic_area, y AS "year",
     1000 * count(*) FILTER (WHERE year(o_orderdate) = y) AS population
-    FROM orders, (VALUES (1996), (1997), (1998)) AS t(y) GROUP BY o_custkey, y"""
+    FROM orders, (SELECT unnest(range(1992, 1999)) AS y) GROUP BY o_custkey, y"""
 
 
 @query("s4_blank_headers_u2_concat_u3_unpivot_x3_replace", f"SELECT geographic_area, CAST(\"year\" AS BIGINT) AS \"year\", population FROM ({LONG_COUNTS})")
 def _(v):
     path = fresh_folder(v.spark, "census")
-    landing.land_lines(wide_counts(v), path, ["table with titles", "Estimates,of,something", ",,1996,1997,1998"])
+    landing.land_lines(wide_counts(v), path, ["table with titles", "Estimates,of,something", ",," + ",".join(map(str, CENSUS_YEARS))])
     rows = files.read_csv_after_preamble(v.spark, path, skip=2)
     years = lambda *found: raw.years_to_rows(rows, "_duplicated_0", {str(y): str(y) for y in found})
-    return raw.population([years(1996, 1997), years(1998)])
+    return raw.population([years(*CENSUS_YEARS[:4]), years(*CENSUS_YEARS[4:])])
 
 
 @query(
@@ -330,12 +333,12 @@ def _(v):
 @query(
     "s15_upsert",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END AS price
-    FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+    FROM orders""",
 )
 def _(v):
     table = fresh_folder(v.spark, "keyed")
     orders = v.table("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
-    tables.upsert(orders.where("o_orderstatus = 'O' OR o_orderstatus = 'F'").drop("o_orderstatus"), table, "o_orderkey")
+    tables.upsert(orders.drop("o_orderstatus"), table, "o_orderkey")
     tables.upsert(orders.where("o_orderstatus = 'F'").select("o_orderkey", (-F.col("price")).alias("price")), table, "o_orderkey")
     return tables.read_table(v.spark, table)
 
@@ -344,12 +347,12 @@ def _(v):
     "s18_tail_replace",
     """WITH fresh AS (SELECT event_id, ts, value FROM events WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-15 12:00:00')
     SELECT * FROM fresh UNION ALL
-    SELECT event_id, ts, value FROM events WHERE event_type <> 'view' AND ts < (SELECT min(ts) FROM fresh)""",
+    SELECT event_id, ts, value FROM events WHERE NOT (event_type = 'view' AND ts >= TIMESTAMP '2024-01-15 12:00:00') AND ts < (SELECT min(ts) FROM fresh)""",
 )
 def _(v):
     rows = v.table("events").select("event_id", "ts", "value", "event_type")
-    new = rows.where((F.col("event_type") == "view") & (F.col("ts") >= C.point(dt.datetime(2024, 1, 15, 12))))
-    old = rows.where(F.col("event_type") != "view")
+    late = (F.col("event_type") == "view") & (F.col("ts") >= C.point(dt.datetime(2024, 1, 15, 12)))
+    new, old = rows.where(late), rows.where(~late)
     return merge.consolidate(old.drop("event_type"), new.drop("event_type"), "ts")
 
 
@@ -533,17 +536,17 @@ def _(v):
     return joins.with_default_row(v.table("orders").select("o_orderkey"), none, [F.col("fallback")])
 
 
-@query("j7_three_way_days", """WITH a AS (SELECT CAST(ts AS DATE) AS a_day, count(*) AS a_n FROM events WHERE event_type = 'view' AND isodow(ts) < 6 GROUP BY 1),
-    b AS (SELECT CAST(ts AS DATE) AS b_day, count(*) AS b_n FROM events WHERE event_type = 'click' AND isodow(ts) NOT IN (1, 6) GROUP BY 1),
-    c AS (SELECT CAST(ts AS DATE) AS c_day, event_id FROM events WHERE event_type = 'purchase' AND isodow(ts) NOT IN (2, 5))
+@query("j7_three_way_days", """WITH a AS (SELECT CAST(CAST(ts AS DATE) + CASE isodow(ts) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS DATE) AS a_day, count(*) AS a_n FROM events WHERE event_type IN ('view', 'error') GROUP BY 1),
+    b AS (SELECT CAST(CAST(ts AS DATE) + CAST(isodow(ts) IN (1, 6) AS INT) AS DATE) AS b_day, count(*) AS b_n FROM events WHERE event_type IN ('click', 'signup') GROUP BY 1),
+    c AS (SELECT CAST(CAST(ts AS DATE) + CAST(isodow(ts) IN (2, 5) AS INT) AS DATE) AS c_day, event_id FROM events WHERE event_type NOT IN ('view', 'error', 'click', 'signup'))
     SELECT coalesce(a_day, b_day, c_day) AS entry_date, a_n, b_n, event_id FROM a FULL JOIN b ON a_day = b_day FULL JOIN c ON a_day = c_day OR b_day = c_day""")
 def _(v):
     events, day = v.table("events"), F.to_date("ts")
-    weekday = F.weekday("ts") + 1
-    of = lambda t, keep: events.where((F.col("event_type") == t) & keep)
-    a = of("view", weekday < 6).groupBy(day.alias("dispatch_date")).agg(F.count(F.lit(1)).alias("a_n"))
-    b = of("click", ~weekday.isin(1, 6)).groupBy(day.alias("report_date")).agg(F.count(F.lit(1)).alias("b_n"))
-    c = of("purchase", ~weekday.isin(2, 5)).select(day.alias("game_date"), "event_id")
+    # Every event is in one of three sources, each of which leaves out other weekdays.
+    first, second = F.col("event_type").isin("view", "error"), F.col("event_type").isin("click", "signup")
+    a = events.where(first).groupBy(workday(day).alias("dispatch_date")).agg(F.count(F.lit(1)).alias("a_n"))
+    b = events.where(second).groupBy(no_day(no_day(day, 0), 5).alias("report_date")).agg(F.count(F.lit(1)).alias("b_n"))
+    c = events.where(~first & ~second).select(no_day(no_day(day, 1), 4).alias("game_date"), "event_id")
     return city.joined_days(a, b, c).select("entry_date", "a_n", "b_n", "event_id")
 
 
@@ -880,7 +883,7 @@ def _(v):
 
 
 def staged_views(v: Views) -> DataFrame:
-    return staging.observations(v.raw_observations().where(F.col("station") == "view"))
+    return staging.observations(v.raw_observations())
 
 
 @query("gold_weather", with_views("gold_weather", select="SELECT * FROM gold_weather"))
@@ -906,7 +909,9 @@ def gold_games(v: Views) -> DataFrame:
 
 
 def full_city_days(v: Views) -> DataFrame:
-    crime = incidents.daily_rates(v.incidents().where(F.weekday("dispatch_date") < 5), staging.population(v.area_years()), AREA, CATEGORIES)
+    day = workday(F.col("dispatch_date"))
+    moved = v.incidents().withColumns({"dispatch_date": day, "dispatch_year": F.year(day).cast("bigint")})
+    crime = incidents.daily_rates(moved, staging.population(v.area_years()), AREA, CATEGORIES)
     return city.city_days(crime, v.weather_days(), cut(gold_games(v)), TEAM)
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -52,6 +52,16 @@ def with_views(*names: str, select: str) -> str:
 _SCHEMAS: dict[str, StructType] = {}
 
 
+def workday(day: Column) -> Column:
+    """Saturdays and Sundays as the Monday after: days without rows, and no row lost."""
+    return F.date_add(day, F.when(F.weekday(day) > 4, 7 - F.weekday(day)).otherwise(0))
+
+
+def no_day(day: Column, weekday: int) -> Column:
+    """One weekday (0 is Monday) as the day after."""
+    return F.date_add(day, F.when(F.weekday(day) == weekday, 1).otherwise(0))
+
+
 class Views:
     """Spark side of the views for one data folder."""
 
@@ -77,11 +87,11 @@ class Views:
         )
 
     def area_years(self) -> DataFrame:
-        """Two estimates for most areas and years, none outside 1996-1999."""
+        """Two estimates for most areas and years; all orders fold into 1996-1999, so other years have none."""
         places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         places = places.select("n_nationkey", F.concat("n_name", F.lit(", "), "r_name").alias("geographic_area"))
-        year = F.year("o_orderdate").cast("bigint")
-        orders = self.table("orders").where(year.between(1996, 1999)).select("o_custkey", "o_orderstatus", year.alias("year"))
+        year = (F.year("o_orderdate") % 4 + 1996).cast("bigint")
+        orders = self.table("orders").select("o_custkey", "o_orderstatus", year.alias("year"))
         placed = orders.join(self.table("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         placed = placed.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         counts = placed.groupBy("geographic_area", "year").agg(
@@ -203,14 +213,14 @@ class Views:
         )
 
     def raw_station_days(self) -> DataFrame:
-        """Daily figures as text, five days on; weekends missing, some figures unknown."""
-        day = F.to_date("ts")
+        """Daily figures as text, five days on; weekends count to Monday, some figures are unknown."""
+        day = workday(F.to_date("ts"))
         weekday = F.weekday("day") + 1
         text = lambda c: F.concat(F.floor(c).cast("string"), F.lit(".125"))
-        days = self.table("events").where(F.col("event_type") == "purchase").withColumn("day", day).groupBy("day").agg(
+        days = self.table("events").withColumn("day", day).groupBy("day").agg(
             F.max("value").alias("hi"), F.min("value").alias("lo"), F.count(F.lit(1)).alias("n")
         )
-        return days.where(weekday < 6).select(
+        return days.select(
             F.date_add("day", 5).alias("date"),
             F.when(weekday != 1, text(F.col("hi") / 2)).alias("tavg (degrees fahrenheit)"),
             F.when(weekday != 2, text(F.col("hi"))).alias("tmax (degrees fahrenheit)"),
@@ -219,17 +229,16 @@ class Views:
         )
 
     def weather_days(self) -> DataFrame:
-        """Several years of daily weather, none on Sundays."""
+        """Several years of daily weather; Sunday's lines count to Monday, so Sundays have none."""
         price, quantity = F.floor(F.avg("l_extendedprice") / 1000), F.floor(F.avg("l_quantity"))
         return (
             self.table("lineitem")
-            .groupBy(F.to_date("l_shipdate").alias("report_date"))
+            .groupBy(no_day(F.to_date("l_shipdate"), 6).alias("report_date"))
             .agg(
                 (price + quantity).cast("double").alias("max_temp_deg_f"),
                 (price - quantity).cast("double").alias("min_temp_deg_f"),
                 F.greatest(F.lit(0), quantity - 24).cast("double").alias("total_precip_inches"),
             )
-            .where(F.weekday("report_date") != 6)
         )
 
     # --- day table for the statistics ----------------------------------------
@@ -237,11 +246,11 @@ class Views:
     def days(self) -> DataFrame:
         """Days with incidents, a record and an outcome beside the weather of the day."""
         of = lambda p: F.count_if(F.col("o_orderpriority") == p)
-        orders = self.table("orders").groupBy(F.to_date("o_orderdate").alias("d")).agg(
+        orders = self.table("orders").groupBy(no_day(F.to_date("o_orderdate"), 5).alias("d")).agg(
             F.count(F.lit(1)).alias("total_incidents"),
             of("1-URGENT").alias("urgent"), of("2-HIGH").alias("high"), of("3-MEDIUM").alias("medium"), of("5-LOW").alias("low"),
             F.count_if(F.col("o_orderstatus") == "F").alias("finished"), F.count_if(F.col("o_orderstatus") == "O").alias("open"),
-        ).where(F.weekday("d") != 5)
+        )
         weather = self.weather_days()
         norms = weather.groupBy(F.month("report_date").alias("m"), F.dayofmonth("report_date").alias("dom")).agg(
             round_to(F.avg("max_temp_deg_f"), 2).alias("avg_max_temp_deg_f"), round_to(F.avg("min_temp_deg_f"), 2).alias("avg_min_temp_deg_f")
@@ -272,11 +281,10 @@ SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS dispatch_date, year(o_orde
 FROM orders"""
 
 SQL["area_counts"] = """
-SELECT n_name || ', ' || r_name AS geographic_area, year(o_orderdate) AS "year",
+SELECT n_name || ', ' || r_name AS geographic_area, year(o_orderdate) % 4 + 1996 AS "year",
        count(*) AS n_all, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_finished
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey
-WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY 1, 2"""
+JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2"""
 
 SQL["area_years"] = """
 SELECT geographic_area, "year", n_all * 1000 AS population FROM area_counts
@@ -433,14 +441,13 @@ SELECT CAST(day + 5 AS DATE) AS report_date,
        CASE WHEN isodow(day) <> 2 THEN CAST(floor(hi) AS BIGINT) || '.125' END AS max_temp_deg_f,
        CASE WHEN isodow(day) <> 3 THEN CAST(floor(lo) AS BIGINT) || '.125' END AS min_temp_deg_f,
        CASE WHEN isodow(day) <> 4 THEN CAST(floor(lo / 8) AS BIGINT) || '.125' END AS total_precip_inches
-FROM (SELECT CAST(ts AS DATE) AS day, max(value) AS hi, min(value) AS lo FROM events WHERE event_type = 'purchase' GROUP BY 1)
-WHERE isodow(day) < 6"""
+FROM (SELECT CAST(CAST(ts AS DATE) + CASE isodow(ts) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS DATE) AS day, max(value) AS hi, min(value) AS lo FROM events GROUP BY 1)"""
 
 SQL["observed_days"] = """
 SELECT CAST(report_time_est AS DATE) AS report_date, max(temp_deg_f) AS max_temp_deg_f, round(avg(temp_deg_f), 2) AS avg_temp_deg_f,
        min(temp_deg_f) AS min_temp_deg_f, coalesce(round(sum(precip_last_6hrs_inches), 3), 0) AS total_precip_inches,
        count(report_time_est) AS daily_count
-FROM stg_observations WHERE station = 'view' GROUP BY 1"""
+FROM stg_observations GROUP BY 1"""
 
 SQL["official_days"] = """
 SELECT report_date, CAST(avg_temp_deg_f AS DECIMAL(5, 2)) AS avg_temp_deg_f, CAST(max_temp_deg_f AS DECIMAL(5, 2)) AS max_temp_deg_f,
@@ -455,11 +462,11 @@ SQL["gold_weather"] = "SELECT coalesce(o.report_date, s.report_date) AS report_d
 ) + " FROM observed_days o FULL JOIN official_days s ON o.report_date = s.report_date"
 
 SQL["weather_days"] = """
-SELECT CAST(l_shipdate AS DATE) AS report_date,
+SELECT CAST(CAST(l_shipdate AS DATE) + CAST(isodow(l_shipdate) = 7 AS INT) AS DATE) AS report_date,
        floor(avg(l_extendedprice) / 1000) + floor(avg(l_quantity)) AS max_temp_deg_f,
        floor(avg(l_extendedprice) / 1000) - floor(avg(l_quantity)) AS min_temp_deg_f,
        greatest(0, floor(avg(l_quantity)) - 24) AS total_precip_inches
-FROM lineitem WHERE isodow(l_shipdate) <> 7 GROUP BY 1"""
+FROM lineitem GROUP BY 1"""
 
 SQL["normed_weather"] = """
 SELECT *, round(avg(max_temp_deg_f) OVER (PARTITION BY month(report_date), day(report_date)), 2) AS avg_max_temp_deg_f,
@@ -481,7 +488,10 @@ FROM (SELECT c.*, coalesce(p.population, d.population) AS population FROM {sourc
 
 
 SQL["gold_crime"] = crime_sql("crime_counts")
-SQL["weekday_crime"] = "SELECT * FROM gold_crime WHERE isodow(dispatch_date) < 6"
+SQL["weekday_counts"] = f"""SELECT dispatch_date, CAST(year(dispatch_date) AS BIGINT) AS dispatch_year, {', '.join(f'sum({n}) AS {n}' for n in _NAMES)} FROM (
+  SELECT * REPLACE (CAST(dispatch_date + CASE isodow(dispatch_date) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS DATE) AS dispatch_date) FROM crime_counts)
+GROUP BY ALL"""
+SQL["weekday_crime"] = crime_sql("weekday_counts")
 
 _OWN = _FIGURES[1:]
 SQL["team_view"] = f"""
@@ -505,11 +515,11 @@ SELECT *, max_temp_deg_f - avg_max_temp_deg_f AS daily_max_temp_deviation_from_m
 FROM joined_days WINDOW ten AS (ORDER BY entry_date, game_id ROWS 9 PRECEDING)"""
 
 SQL["day_orders"] = """
-SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS total_incidents,
+SELECT CAST(CAST(o_orderdate AS DATE) + CAST(isodow(o_orderdate) = 6 AS INT) AS DATE) AS d, count(*) AS total_incidents,
        count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent, count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS high,
        count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS medium, count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS low,
        count(*) FILTER (WHERE o_orderstatus = 'F') AS finished, count(*) FILTER (WHERE o_orderstatus = 'O') AS still_open
-FROM orders WHERE isodow(o_orderdate) <> 6 GROUP BY 1"""
+FROM orders GROUP BY 1"""
 
 SQL["stat_days"] = """
 SELECT coalesce(d, report_date) AS entry_date, report_date, max_temp_deg_f, min_temp_deg_f, avg_max_temp_deg_f, avg_min_temp_deg_f,
