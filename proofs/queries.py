@@ -411,12 +411,12 @@ def _(v):
     return staging.current_games(v.raw_current(v.games()))
 
 
-@query("p5_outcomes_u1_distinct_sides", with_views("curr_sides", select="SELECT * FROM curr_sides"))
+@query("p5_outcomes_u1_distinct_sides", with_views("schedule_games", select="SELECT * EXCLUDE (game_number) FROM schedule_games"))
 def _(v):
     return games.current_sides(staging.current_games(v.raw_current(v.games())))
 
 
-@query("p6_pick_by_side_j3_either_team", with_views("hist_team_games", select="SELECT * FROM hist_team_games"))
+@query("p6_pick_by_side_j3_either_team", with_views("log_games", select="SELECT * FROM log_games"))
 def _(v):
     return games.historical_team_games(staging.historical_games(v.raw_historical(v.stored_games())), v.raw_teams())
 
@@ -505,8 +505,8 @@ def _(v):
     return combined_games(v)
 
 
-@query("j4_pair_sides", with_views("curr_team_games", select="""SELECT h.game_date, h.game_id, h.team AS home_team, a.team AS away_team,
-    h.game_number AS home_number, a.game_number AS away_number FROM curr_team_games h JOIN curr_team_games a
+@query("j4_pair_sides", with_views("schedule_games", select="""SELECT h.game_date, h.game_id, h.team AS home_team, a.team AS away_team,
+    h.game_number AS home_number, a.game_number AS away_number FROM schedule_games h JOIN schedule_games a
     ON h.game_date = a.game_date AND h.game_id = a.game_id WHERE h.home_team AND NOT a.home_team"""))
 def _(v):
     rows = games.current_team_games(staging.current_games(v.raw_current(v.games())))
@@ -735,12 +735,12 @@ def _(v):
     return staging.population(v.area_years())
 
 
-@query("w2_game_numbers", with_views("curr_team_games", select="SELECT * FROM curr_team_games"))
+@query("w2_game_numbers", with_views("schedule_games", select="SELECT * FROM schedule_games"))
 def _(v):
     return games.current_team_games(staging.current_games(v.raw_current(v.games())))
 
 
-@query("w3_streak_groups", with_views("islands", select="SELECT game_date, game_id, season, team, outcome, game_number, streak_group FROM islands"))
+@query("w3_streak_groups", with_views("counted", select="SELECT game_date, game_id, season, team, outcome, game_number, outcome || island AS streak_group FROM counted"))
 def _(v):
     rows = games.streak_group(games.with_running_counts(combined_games(v), rows=64))
     return rows.select("game_date", "game_id", "season", "team", "outcome", "game_number", "streak_group")
