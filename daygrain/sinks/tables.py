@@ -9,6 +9,7 @@ it writes. Time-range tables are partitioned by day and only touch their interva
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,10 @@ from pyspark.sql import functions as F
 from daygrain.session import cut, temporary
 
 
+#: Where time-range writes wait; readers pass over names that start like this.
+PENDING = "_pending"
+
+
 def _folder(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
@@ -85,27 +90,46 @@ def upsert(df: DataFrame, table: str, key: str, order: Column | None = None) ->
 def write_time_range(df: DataFrame, table: str, time_column: str, start: dt.date, end: dt.date) -> None:
     """Replace the days of [start, end) by the rows of ``df`` that fall into them.
 
-    New days are swapped in first; days of the interval that got no new file have
-    become empty and are dropped after that. All other days stay untouched. A row without
-    a time belongs to no day and raises.
+    The rows are stored beside the table first. New days are then swapped in, and days of the
+    interval that got no new file have become empty and are dropped. All other days stay
+    untouched. A job that dies on the way leaves the stored rows, from which the next write, or
+    ``finish_pending``, completes the swap: rows taken from a replaced day are never lost. A row
+    without a time belongs to no day and raises.
     """
     spark = df.sparkSession
     days = F.col(time_column).cast("date")
     undated = F.raise_error(F.lit(f"a row has no {time_column}")).cast("boolean")
     inside = df.where(F.when(days.isNull(), undated).otherwise((days >= F.lit(start)) & (days < F.lit(end)))).withColumn("day", days)
 
+    finish_pending(spark, table)
+    staged = f"{table}/{PENDING}/{start.isoformat()}_{end.isoformat()}_{uuid.uuid4().hex}"
+    inside.hint("rebalance", F.col("day")).write.parquet(staged)
+    _swap_in(spark, table, staged)
+
+
+def finish_pending(spark: SparkSession, table: str) -> None:
+    """Bring a time-range write that was interrupted to its end, or undo it if its rows were not all stored."""
+    for name in _children(spark, f"{table}/{PENDING}"):
+        staged = f"{table}/{PENDING}/{name}"
+        if _exists(spark, f"{staged}/_SUCCESS"):
+            _swap_in(spark, table, staged)
+        else:
+            fs, folder = _folder(spark, staged)
+            fs.delete(folder, True)
+
+
+def _swap_in(spark: SparkSession, table: str, staged: str) -> None:
+    """Replace the days of a staged write, named after its interval. Repeating it changes nothing."""
+    start, end = map(dt.date.fromisoformat, staged.rsplit("/", 1)[1].split("_")[:2])
     before = {path: set(_children(spark, path)) for path in _day_folders(spark, table, start, end)}
-    (
-        inside.hint("rebalance", F.col("day"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(table)
-    )
+    rows = spark.read.parquet(staged)
+    rows.hint("rebalance", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(table)
     for path, files in before.items():
         if set(_children(spark, path)) == files:
             fs, folder = _folder(spark, path)
             fs.delete(folder, True)
+    fs, folder = _folder(spark, staged)
+    fs.delete(folder, True)
 
 
 def read_time_range(spark: SparkSession, table: str, schema, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:

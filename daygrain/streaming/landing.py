@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from daygrain.operators.consolidate import consolidate, recompile
 from daygrain.session import cut, temporary
-from daygrain.sinks.tables import read_day, write_time_range
+from daygrain.sinks.tables import finish_pending, read_day, write_time_range
 from daygrain.sources import schemas
 from daygrain.sources.snapshots import DATE_IN_PATH
 
@@ -40,6 +40,7 @@ def absorb(batch: DataFrame, table: str, time: str = "reportTime") -> None:
         first = parsed.agg(F.min(time).alias("t")).first().t
         if first is None:
             return
+        finish_pending(spark, table)
         inside = recompile(parsed, "file_date", time, keys=())
         begun = read_day(spark, table, first.date())
         write_time_range(consolidate(begun, inside, time), table, time, first.date(), dt.date.max)
@@ -48,7 +49,8 @@ def absorb(batch: DataFrame, table: str, time: str = "reportTime") -> None:
 def run_available(stream: DataFrame, table: str, checkpoint: str, time: str = "reportTime"):
     """Process every file that has arrived, then stop. Call it again for the next day.
 
-    A batch repeated after a failure replaces its own tail and so changes nothing.
+    A batch repeated after a failure first completes the write that was interrupted, then replaces
+    its own tail and so changes nothing.
     """
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)

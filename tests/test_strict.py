@@ -120,3 +120,36 @@ def test_logistic_fit_without_a_finite_answer(spark, found, classes):
 def test_poisson_reaches_the_end_of_its_distribution(spark):
     last = spark.range(1).select(stats.poisson_of(F.lit(1.0 - 2.0**-53)).alias("w")).first()["w"]
     assert 15 <= last <= 19
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_a_write_killed_between_delete_and_rename_loses_nothing(spark, rows, tmp_path, monkeypatch, stored):
+    table, day = str(tmp_path / "t"), lambda n, h=0: dt.datetime(2024, 5, n, h)
+    schema, file_date = "t timestamp_ntz, v string, file_date date", dt.date(2024, 5, 1)
+    old = spark.createDataFrame([(day(1, 3), "kept", file_date), (day(1, 9), "old", file_date), (day(2), "old", file_date)], schema)
+    tables.write_time_range(old, table, "t", dt.date(2024, 5, 1), dt.date(2024, 5, 3))
+    batch = spark.createDataFrame([(day(1, 8), "new", file_date)], schema)
+    whole = tables._swap_in
+
+    def dies(spark, table, staged):
+        fs, folder = tables._folder(spark, f"{table}/day=2024-05-01")
+        fs.delete(folder, True)
+        if not stored:
+            fs, marker = tables._folder(spark, f"{staged}/_SUCCESS")
+            fs.delete(marker, False)
+        raise RuntimeError("killed")
+
+    if not stored:  # dies before all rows are stored, so before anything is deleted
+        monkeypatch.setattr(tables, "_swap_in", lambda spark, table, staged: dies(spark, f"{table}/nowhere", staged))
+    else:
+        monkeypatch.setattr(tables, "_swap_in", dies)
+    with pytest.raises(RuntimeError):
+        landing.absorb(batch, table, "t")
+    monkeypatch.setattr(tables, "_swap_in", whole)
+    if not stored:
+        tables.finish_pending(spark, table)
+        assert rows(tables.read_time_range(spark, table, schema))[1][1] == "old"
+    landing.absorb(batch, table, "t")
+    assert rows(tables.read_time_range(spark, table, schema), "t", "v") == [(day(1, 3), "kept"), (day(1, 8), "new")]
+    landing.absorb(batch, table, "t")
+    assert tables.read_time_range(spark, table, schema).count() == 2
