@@ -16,6 +16,8 @@ from daygrain.functions.columns import absent_nan, round_to
 from daygrain.session import cut, ship
 
 Conditions = Mapping[str, Column]
+#: Fixed value: 95 % of a normal distribution lie within so many standard deviations.
+NORMAL_95 = 1.959963984540054
 
 
 def number(column: str | Column) -> Column:
@@ -198,9 +200,14 @@ def linear_fit(df: DataFrame, x: str, y: str, swap: bool = False) -> DataFrame:
 
 
 def means_at(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Mean of y at each distinct x, over complete pairs; NaN is absent."""
+    """Mean of y at each distinct x with its 95 % interval, over complete pairs; NaN is absent.
+
+    The interval is that of the normal distribution about the mean; a single row has none.
+    """
     complete = df.where(number(x).isNotNull() & number(y).isNotNull())
-    return complete.groupBy(F.col(x).alias("x")).agg(F.avg(number(y)).alias("mean_y"), F.count(F.lit(1)).alias("n"))
+    found = complete.groupBy(F.col(x).alias("x")).agg(F.avg(number(y)).alias("mean_y"), F.count(F.lit(1)).alias("n"), F.stddev_samp(number(y)).alias("__s"))
+    half = F.when(F.col("n") > 1, NORMAL_95 * F.col("__s") / F.sqrt("n"))
+    return found.select("x", "mean_y", "n", (F.col("mean_y") - half).alias("low"), (F.col("mean_y") + half).alias("high"))
 
 
 def logistic_fit(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -104,7 +104,9 @@ def deviation(value: str, norm: str) -> Column:
 def carried(df: DataFrame, columns: Sequence[str], rows: int = 10, block_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add ``<column>_lag``: on days without a game the maximum of the last rows, else the own value."""
     order = [F.col("entry_date").asc_nulls_last(), F.col("game_id").asc_nulls_last()]
-    placed = sequence_number(df, [], "entry_date", order, "__position")
+    # Even ranges of the order, so that one day may hold any share of the rows. Stored first: ranges are sampled.
+    ranged = cut(df).repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    placed = sequence_number(ranged, [], "__range", order, "__position")
     recent = {f"__last_{c}": (lambda w, c=c: F.max(c).over(w.rowsBetween(-(rows - 1), 0))) for c in columns}
     looked = looking_back(placed, [], "__position", rows - 1, recent, "__block", block_rows)
     lag = {f"{c}_lag": F.when(F.col("team_game_number").isNull(), F.col(f"__last_{c}")).otherwise(F.col(c)) for c in columns}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from daygrain.functions import columns as C
 from daygrain.operators import consolidate as merge
 from daygrain.operators import joins, ordered, quality, stats
-from daygrain.plans import city_days as city
+from daygrain.plans import city_days as city, refresh
 from daygrain.plans import games, incidents, raw, staging, weather
 from daygrain.session import cut, fresh_folder
 from daygrain.sinks import tables
@@ -343,6 +343,16 @@ def _(v):
     return tables.read_table(v.spark, table)
 
 
+@query("k1_refresh_by_definition", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 2 * o_totalprice ELSE o_totalprice END AS price FROM orders")
+def _(v):
+    base = fresh_folder(v.spark, "defined")
+    definition = refresh.Table("prices", refresh.BY_KEY, key="o_orderkey", unique=("o_orderkey",), numeric=("price",))
+    orders = v.table("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
+    refresh.refresh(orders.drop("o_orderstatus"), definition, base)
+    path = refresh.refresh(orders.where("o_orderstatus = 'F'").select("o_orderkey", (2 * F.col("price")).alias("price")), definition, base)
+    return tables.read_table(v.spark, path)
+
+
 @query(
     "s18_tail_replace",
     """WITH fresh AS (SELECT event_id, ts, value FROM events WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-15 12:00:00')
@@ -698,10 +708,12 @@ def _(v):
     return fit.select(*[C.round_to(F.col(c), 6).alias(c) for c in ("intercept", "slope")])
 
 
-@query("a14_means_at", with_views(_STAT, select="""SELECT max_temp_deg_f AS x, round(avg(violent_crime_per_100k), 6) AS mean_y, count(*) AS n FROM stat_days
+@query("a14_means_at", with_views(_STAT, select="""SELECT max_temp_deg_f AS x, round(avg(violent_crime_per_100k), 6) AS mean_y, count(*) AS n,
+    round(avg(violent_crime_per_100k) - 1.959963984540054 * stddev_samp(violent_crime_per_100k) / sqrt(count(*)), 6) AS low,
+    round(avg(violent_crime_per_100k) + 1.959963984540054 * stddev_samp(violent_crime_per_100k) / sqrt(count(*)), 6) AS high FROM stat_days
     WHERE max_temp_deg_f IS NOT NULL AND violent_crime_per_100k IS NOT NULL GROUP BY 1"""))
 def _(v):
-    return stats.means_at(v.days(), "max_temp_deg_f", "violent_crime_per_100k").withColumn("mean_y", C.round_to(F.col("mean_y"), 6))
+    return stats.means_at(v.days(), "max_temp_deg_f", "violent_crime_per_100k").withColumns({c: C.round_to(F.col(c), 6) for c in ("mean_y", "low", "high")})
 
 
 @query("a15_bootstrap_band", None)
