@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from daygrain.functions import columns as C
 from daygrain.operators import consolidate as merge
 from daygrain.operators import joins, ordered, quality, stats
-from daygrain.plans import city_days as city, refresh
-from daygrain.plans import games, incidents, raw, staging, weather
+from daygrain.plans import city_days as city
+from daygrain.plans import games, incidents, raw, refresh, staging, weather
 from daygrain.session import cut, fresh_folder
 from daygrain.sinks import tables
 from daygrain.sources import files, schemas, snapshots
