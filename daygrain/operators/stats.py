@@ -158,8 +158,10 @@ def correlation_matrix(df: DataFrame, fields: Sequence[str], digits: int = 2) ->
     folded again per task before it is shuffled.
     """
     ship(df.sparkSession)
-    means = df.agg(F.struct(*[F.avg(number(c)).alias(f"f{i}") for i, c in enumerate(fields)])).scalar()
-    held = df.select(*[number(c).alias(f"f{i}") for i, c in enumerate(fields)], means.alias("m"))
+    # The numbers alone are stored, so that the input is evaluated once for the means and the products.
+    numbers = cut(df.select(*[number(c).alias(f"f{i}") for i, c in enumerate(fields)]))
+    means = numbers.agg(F.struct(*[F.avg(c).alias(c) for c in numbers.columns])).scalar()
+    held = numbers.select("*", means.alias("m"))
     centred = held.select(*[(F.col(f"f{i}") - F.col(f"m.f{i}")).alias(f"f{i}") for i in range(len(fields))])
     schema = "i int, j int, " + ", ".join(f"{n} double" for n in _PAIR_NAMES[2:])
     total = centred.mapInArrow(_pair_sums, schema).groupBy("i", "j").agg(
@@ -199,6 +201,16 @@ def linear_fit(df: DataFrame, x: str, y: str, swap: bool = False) -> DataFrame:
     )
 
 
+def linear_fits(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Both least-squares lines of a pair from one aggregate: (axes, slope, intercept, r2, n)."""
+    a, b = number(y), number(x)
+    lines = []
+    for axes, up, along in (("y on x", a, b), ("x on y", b, a)):
+        figures = {"slope": F.regr_slope, "intercept": F.regr_intercept, "r2": F.regr_r2, "n": F.regr_count}
+        lines.append(F.struct(F.lit(axes).alias("axes"), *[f(up, along).alias(name) for name, f in figures.items()]))
+    return df.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+
+
 def means_at(df: DataFrame, x: str, y: str) -> DataFrame:
     """Mean of y at each distinct x with its 95 % interval, over complete pairs; NaN is absent.
 

@@ -672,13 +672,8 @@ def _(v):
     UNION ALL SELECT 'x on y', round(regr_slope(max_temp_deg_f, violent_crime_per_100k), 6), round(regr_intercept(max_temp_deg_f, violent_crime_per_100k), 6),
     round(regr_r2(max_temp_deg_f, violent_crime_per_100k), 6), CAST(regr_count(max_temp_deg_f, violent_crime_per_100k) AS BIGINT) FROM stat_days"""))
 def _(v):
-    fits = [
-        stats.linear_fit(v.days(), "max_temp_deg_f", "violent_crime_per_100k", swap).select(
-            F.lit(axes).alias("axes"), *[C.round_to(F.col(c), 6).alias(c) for c in ("slope", "intercept", "r2")], "n"
-        )
-        for axes, swap in (("y on x", False), ("x on y", True))
-    ]
-    return fits[0].unionByName(fits[1])
+    fits = stats.linear_fits(v.days(), "max_temp_deg_f", "violent_crime_per_100k")
+    return fits.withColumns({c: C.round_to(F.col(c), 6) for c in ("slope", "intercept", "r2")})
 
 
 @query("a13_logistic_fit", with_views(_STAT, select="""SELECT * FROM (WITH RECURSIVE counts AS (
