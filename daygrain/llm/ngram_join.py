@@ -95,6 +95,13 @@ def parities(elements: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def set_keys(elements: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set, together its identity."""
+    if not len(elements):
+        return 0, 0
+    return int(mixed(elements).sum()), int(mixed(elements ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum())
+
+
 def _profiles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,11 +109,11 @@ def _profiles(words: int):
             for found in shingle_sets(batch.column("text"), words):
                 sizes.append(len(found))
                 bits.append(parities(found))
-                first.append(int(mixed(found).sum()) if len(found) else 0)
-                second.append(int(mixed(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()) if len(found) else 0)
-            keys = [pa.array(np.array(k, np.uint64).view(np.int64)) for k in (first, second)]
+                for keys, key in zip((first, second), set_keys(found)):
+                    keys.append(key)
+            hashes = [pa.array(np.array(k, np.uint64).view(np.int64)) for k in (first, second)]
             marks = [pa.array(b) for b in np.array(bits, np.int64).reshape(-1, len(PARITIES)).T]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), *keys, *marks], ["doc_id", "n_shingles", "k1", "k2", *PARITIES])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), *hashes, *marks], ["doc_id", "n_shingles", "k1", "k2", *PARITIES])
 
     return run
 
@@ -117,11 +124,14 @@ def _index(words: int):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             rows: list[tuple[int, int, int, np.ndarray]] = []
             held = 0
+            # Of equal sets in a batch one speaks for all: a group of copies is small before it is shuffled.
+            known: set[tuple[int, int]] = set()
             bands = band_limits(1)
             for doc, found in zip(ids.tolist(), shingle_sets(batch.column("text"), words)):
                 n = len(found)
-                if not n:
+                if not n or (key := set_keys(found)) in known:
                     continue
+                known.add(key)
                 if n > bands[-1][1]:
                     bands = band_limits(n)
                 band = next(k for k in range(len(bands) - 1, -1, -1) if bands[k][0] <= n)
