@@ -34,79 +34,98 @@ def _is_mark(token: Column) -> Column:
     return token.isin(".", "!", "?", "\n")
 
 
-def _kind(token: Column, before: Column) -> Column:
-    """The template token: null for a mark, a placeholder for a number, a name or a unit, or the lower-cased word."""
+def _kind(token: Column, before: Column, names: bool = True) -> Column:
+    """The template token: null for a mark, a placeholder for a number, a name (if asked for) or a unit, or the lower-cased word."""
     initial = F.left(token, F.lit(1))
-    return (
-        F.when(token.isNull() | _is_mark(token), F.lit(None).cast("string"))
-        .when(_is_number(token), "#")
-        .when((F.lower(initial) != initial) & ~_is_mark(before), "^")
-        .when(_is_number(before) & F.lower(token).isin(*UNITS), "~")
-        .otherwise(F.lower(token))
-    )
+    kind = F.when(token.isNull() | _is_mark(token), F.lit(None).cast("string")).when(_is_number(token), "#")
+    if names:
+        kind = kind.when((F.lower(initial) != initial) & ~_is_mark(before), "^")
+    return kind.when(_is_number(before) & F.lower(token).isin(*UNITS), "~").otherwise(F.lower(token))
 
 
 def template_windows(texts: DataFrame, *keys: str, tokens: bool = False, words: int = WORDS) -> DataFrame:
-    """(keys, pos, window): the hash of each window of template tokens, with its tokens if asked for."""
+    """(keys, pos, window, typed): the hash of each window of template tokens, with its tokens if asked for.
+
+    A window that holds a name has a second row, not ``typed``, in which names are lower-cased words.
+    """
     found = texts.select(*keys, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("found"))
     # The token before each one comes from a shifted copy: a look into the outer array from inside the
     # lambda would be evaluated anew for each token wherever the optimizer moves this expression.
-    kinds = F.zip_with("found", F.concat(F.array(F.lit("\n")), F.col("found")), _kind)
+    before = F.concat(F.array(F.lit("\n")), F.col("found"))
     typed = found.select(
         *keys,
-        F.filter(kinds, lambda x: x.isNotNull()).alias("kinds"),
+        F.filter(F.zip_with("found", before, lambda x, y: _kind(x, y)), lambda x: x.isNotNull()).alias("kinds"),
+        F.filter(F.zip_with("found", before, lambda x, y: _kind(x, y, names=False)), lambda x: x.isNotNull()).alias("plain"),
         *([F.filter("found", lambda x: ~_is_mark(x)).alias("found")] if tokens else []),
     )
-    hashes = F.transform(F.sequence(F.lit(0), F.size("kinds") - words), lambda i: F.xxhash64(*(F.col("kinds")[i + k] for k in range(words))))
-    hashes = F.when(F.size("kinds") >= words, hashes)
-    rows = typed.select(*keys, *(["kinds", "found"] if tokens else []), F.posexplode(hashes).alias("pos", "window"))
+
+    def hashes(column: str) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(column) - words), lambda i: F.xxhash64(*(F.col(column)[i + k] for k in range(words))))
+
+    both = F.when(F.size("kinds") >= words, F.arrays_zip(hashes("kinds").alias("one"), hashes("plain").alias("two")))
+    rows = typed.select(*keys, *(["kinds", "plain", "found"] if tokens else []), F.posexplode(both).alias("pos", "both"))
+    forms = F.array(F.col("both.one"), F.when(F.col("both.two") != F.col("both.one"), F.col("both.two")))
+    rows = rows.select(*[c for c in rows.columns if c != "both"], F.posexplode(forms).alias("form", "window")).where("window IS NOT NULL")
+    rows = rows.withColumn("typed", F.col("form") == 0).drop("form")
     if not tokens:
         return rows
-    pick = [F.slice(c, F.col("pos") + 1, F.lit(words)).alias(c) for c in ("kinds", "found")]
-    return rows.select(*keys, "pos", "window", *pick)
+    kinds = F.when(F.col("typed"), F.col("kinds")).otherwise(F.col("plain"))
+    pick = [F.slice(c, F.col("pos") + 1, F.lit(words)).alias(n) for n, c in (("kinds", kinds), ("found", F.col("found")))]
+    return rows.select(*keys, "pos", "window", "typed", *pick)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
     """One row for each document and benchmark item whose template windows it holds to ``per_cent`` at least.
 
     Columns: doc_id, item_id, n_windows of the item, n_found of them, n_slots (placeholders met) and
-    n_changed (those with another value than the item's; 0 for a plain copy). Windows count only where
-    the alignment they lie in maps every slot value of the item to one value of the document.
+    n_changed (those with another value than the item's; 0 for a plain copy). Windows count where
+    the alignment they lie in maps every slot value of the item to one value of the document. Where
+    these are too few, windows without regard to letter case count beside them, in which only numbers
+    and units are slots: n_found, n_slots and n_changed are then those of both.
     Null and empty texts, texts and items of fewer than ``words`` tokens, and rows without an id match
     nothing. Rows of one doc_id count as one document; rows of one item_id with different texts are
     variants, of which the best counts. Other columns are ignored.
     """
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct().withColumn("variant", F.xxhash64("text"))
-    wanted = cut(template_windows(items, "item_id", "variant", tokens=True, words=words).withColumnRenamed("pos", "item_pos"))
-    total = wanted.groupBy("item_id", "variant").agg(F.count("*").alias("n_windows"))
+    wanted = cut(template_windows(items, "item_id", "variant", tokens=True, words=words).withColumnRenamed("pos", "item_pos").withColumnRenamed("typed", "item_typed"))
+    total = wanted.where("item_typed").groupBy("item_id", "variant").agg(F.count("*").alias("n_windows"))
     # The stored windows have a known size: the planner broadcasts them, or shuffles where they are many.
     small = cut(wanted.select("window", "item_id", "variant", "item_pos"))
     met = template_windows(docs, "doc_id", words=words).join(small, "window")
     enough = F.col("n_found") * 100 >= F.col("n_windows") * per_cent
-    pairs = (
-        met.groupBy("doc_id", "item_id", "variant").agg(F.count_distinct("item_pos").alias("n_found")).join(total, ["item_id", "variant"]).where(enough).select("doc_id", "item_id", "variant")
-    )
-    pairs = cut(pairs)
+    pair = ["doc_id", "item_id", "variant"]
+    pairs = cut(met.groupBy(*pair).agg(F.count_distinct("item_pos").alias("n_found")).join(total, ["item_id", "variant"]).where(enough).select(*pair))
     ids = cut(pairs.select("doc_id").distinct())
     again = template_windows(docs.join(ids, "doc_id", "left_semi"), "doc_id", tokens=True, words=words).withColumnRenamed("found", "said").drop("kinds")
-    aligned = again.join(wanted, "window").join(pairs, ["doc_id", "item_id", "variant"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
+    aligned = again.join(wanted, "window").join(pairs, pair).withColumn("shift", F.col("pos") - F.col("item_pos"))
     slots = F.transform(
         "kinds", lambda k, i: F.struct((F.col("item_pos") + i).alias("at"), k.alias("kind"), F.lower(F.col("found")[i]).alias("asked"), F.lower(F.col("said")[i]).alias("given"))
     )
     slots = F.filter(slots, lambda s: s["kind"].isin("#", "^", "~"))
-    aligned = cut(aligned.select("doc_id", "item_id", "variant", "shift", "item_pos", slots.alias("slots")))
-    place = ["doc_id", "item_id", "variant", "shift"]
-    values = aligned.select(*place, F.explode("slots").alias("s"))
-    clashes = values.groupBy(*place, "s.kind", "s.asked").agg(F.count_distinct("s.given").alias("n")).where("n > 1").select(*place).distinct()
-    good = aligned.join(clashes, place, "left_anti")
-    pair = ["doc_id", "item_id", "variant"]
-    seen = values.join(clashes, place, "left_anti").groupBy(*pair).agg(
-        F.count_distinct("s.at").alias("n_slots"), F.count_distinct(F.when(F.col("s.asked") != F.col("s.given"), F.col("s.at"))).alias("n_changed")
-    )
-    done = good.groupBy(*pair).agg(F.count_distinct("item_pos").alias("n_found")).join(total, ["item_id", "variant"]).where(enough).join(seen, pair, "left")
+    forms = (F.col("typed") & F.col("item_typed")).alias("typed"), (~F.array_contains("kinds", "^")).alias("plain")
+    aligned = cut(aligned.select(*pair, "shift", "item_pos", *forms, slots.alias("slots")))
+    place = [*pair, "shift"]
+
+    def agreeing(rows: DataFrame) -> DataFrame:
+        """The rows of alignments that give no slot value two values."""
+        values = rows.select(*place, F.explode("slots").alias("s"))
+        clashes = values.groupBy(*place, "s.kind", "s.asked").agg(F.count_distinct("s.given").alias("n")).where("n > 1").select(*place).distinct()
+        return rows.join(clashes, place, "left_anti").select(*pair, "item_pos", "slots")
+
+    def counted(rows: DataFrame, rank: int) -> DataFrame:
+        """The pairs of which enough positions are among the rows."""
+        slot = rows.select(*pair, F.explode("slots").alias("s")).groupBy(*pair).agg(
+            F.count_distinct("s.at").alias("n_slots"), F.count_distinct(F.when(F.col("s.asked") != F.col("s.given"), F.col("s.at"))).alias("n_changed")
+        )
+        found = rows.groupBy(*pair).agg(F.count_distinct("item_pos").alias("n_found")).join(total, ["item_id", "variant"]).where(enough)
+        return found.join(slot, pair, "left").na.fill(0, ["n_slots", "n_changed"]).withColumn("rank", F.lit(rank))
+
+    strict = cut(agreeing(aligned.where("typed")))
+    either = cut(strict.union(agreeing(aligned.where("plain"))))
+    done = counted(strict, 1).unionByName(counted(either, 0))
     best = F.max_by(
-        F.struct("n_windows", "n_found", F.coalesce("n_slots", F.lit(0)).cast("bigint").alias("n_slots"), F.coalesce("n_changed", F.lit(0)).cast("bigint").alias("n_changed")),
-        F.struct(F.col("n_found") / F.col("n_windows"), "variant"),
+        F.struct("n_windows", "n_found", "n_slots", "n_changed"),
+        F.struct("rank", F.col("n_found") / F.col("n_windows"), "variant"),
     )
     return done.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")

@@ -138,6 +138,17 @@ def test_templates_catch_copies_and_new_values(spark, docs_of):
     assert got[5, 4][1] == 4
 
 
+def test_copies_in_other_letter_case_or_after_other_words(spark, docs_of):
+    short = "What is 12 times 7?"
+    wrapped = ITEM.replace("Boston", "\nBoston").replace("Alice", "\nAlice").replace("Bob", "\nBob")
+    docs = [(1, ITEM.upper()), (2, ITEM.lower()), (3, wrapped), (4, f"Question: {short}"), (5, f"he asked {short.lower()} again"), (6, OTHER.upper()), (7, "Question: " + short.replace("12", "15"))]
+    items = spark.createDataFrame([(1, ITEM), (2, short)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_found"], r["n_changed"]) for r in decontaminate.leaks(docs_of(docs), items).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (7, 2)}
+    assert all(found == n for n, found, _ in got.values())
+    assert {k: v[2] for k, v in got.items()} == {(1, 1): 0, (2, 1): 0, (3, 1): 0, (4, 2): 0, (5, 2): 0, (7, 2): 1}
+
+
 def test_no_documents_or_no_benchmark(spark, docs_of):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.leaks(docs_of(ODD), none).count() == 0
