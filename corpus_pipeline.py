@@ -26,15 +26,32 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate class."""
-    classes = ngram_join.near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(cut(classes), "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of each near-duplicate class, rows without an id last.
+
+    Of rows with equal text and id one stays, with or without an id. Rows that share an id are
+    compared like any others.
+    """
+    again = cut(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")))
+    is_again = F.col("doc_id") == F.col("_again")
+    plain = docs.where("doc_id IS NOT NULL").join(again, is_again, "left_anti").withColumn("_key", F.col("doc_id"))
+    # Rows whose id does not tell them apart go by a hash, below the other keys as far as ids are not negative.
+    odd = docs.where("doc_id IS NULL").unionByName(docs.join(again, is_again, "left_semi"))
+    odd = cut(odd.withColumn("_key", -F.shiftrightunsigned(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"), 1) - 1).dropDuplicates(["_key"]))
+    rows = plain.unionByName(odd)
+    found = ngram_join.near_duplicates(rows.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id")
+    own = odd.select("_key", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "_key").alias("_own"))
+    usual = F.struct(F.lit(False).alias("none"), F.col("_key").alias("id"), "_key")
+    ranked = cut(found.join(own, "_key", "left").select("_key", "component_id", F.coalesce("_own", usual).alias("rank")))
+    first = ranked.groupBy("component_id").agg(F.min("rank").alias("first"))
+    gone = ranked.join(first, "component_id").where("_key <> first._key").select("_key").distinct()
+    return rows.join(cut(gone), "_key", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(cut(found), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no benchmark item; each row is judged by its own text, with or without an id."""
+    found = decontaminate.leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaked = cut(found.select("doc_id").distinct()).toDF("_leaked")
+    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col("_leaked"), "left_anti").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,6 +71,21 @@ def test_empty_corpus_and_rows_without_ids(spark, docs_of, tmp_path):
         assert docs.count() >= 0, name
 
 
+def test_repeated_rows_and_rows_without_ids_are_judged(spark, docs_of, tmp_path):
+    random.seed(12)
+    one, two, three, item = (text_of("aa", 60) for _ in range(4))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(5, one), (5, one), (5, one), (3, two), (None, two + " ka"), (None, three), (None, three), (7, three + " lo"), (5, "another text of this id"), (None, None), (None, None), (8, "")]
+    docs = docs_of(rows)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    expected = [(5, one), (3, two), (7, three + " lo"), (5, "another text of this id"), (None, None), (8, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted(expected, key=repr)
+    docs = docs_of([(None, f"{one}\n{item}.\n{two}"), (None, one), (4, item), (4, two), (None, None)])
+    left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted([(None, one), (4, two), (None, None)], key=repr)
+
+
 def test_one_query_for_each_operator():
     assert [len([n for n in LLM_REGISTRY if n.startswith(f"op{k}_")]) for k in range(1, 11)] == [1] * 10
     assert "pipeline" in LLM_REGISTRY
