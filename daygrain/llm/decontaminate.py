@@ -81,7 +81,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, per_cent: i
     n_changed (those with another value than the item's; 0 for a plain copy). Windows count where
     the alignment they lie in maps every slot value of the item to one value of the document. Where
     these are too few, windows without regard to letter case count beside them, in which only numbers
-    and units are slots: n_found, n_slots and n_changed are then those of both.
+    and units are slots, if their slots have the item's values or those that most slots of the
+    alignment give them; where these are too few as well, typed windows whose slots agree with that
+    majority. n_found, n_slots and n_changed are of the windows that were enough.
     Null and empty texts, texts and items of fewer than ``words`` tokens, and rows without an id match
     nothing. Rows of one doc_id count as one document; rows of one item_id with different texts are
     variants, of which the best counts. Other columns are ignored.
@@ -113,6 +115,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, per_cent: i
         clashes = values.groupBy(*place, "s.kind", "s.asked").agg(F.count_distinct("s.given").alias("n")).where("n > 1").select(*place).distinct()
         return rows.join(clashes, place, "left_anti").select(*pair, "item_pos", "slots")
 
+    def near_majority(rows: DataFrame) -> DataFrame:
+        """The rows whose slots all have the value that most slots of the alignment give the item's value."""
+        values = rows.select(*place, "item_pos", F.explode("slots").alias("s")).select(*place, "item_pos", "s.*")
+        slot = [*place, "kind", "asked"]
+        votes = values.groupBy(*slot, "given").agg(F.count_distinct("at").alias("n"))
+        usual = votes.groupBy(*slot).agg(F.max_by("given", F.struct("n", F.col("given") == F.col("asked"), "given")).alias("usual"))
+        odd = values.join(usual, slot).where("given <> usual").select(*place, "item_pos").distinct()
+        return rows.join(odd, [*place, "item_pos"], "left_anti").select(*pair, "item_pos", "slots")
+
     def counted(rows: DataFrame, rank: int) -> DataFrame:
         """The pairs of which enough positions are among the rows."""
         slot = rows.select(*pair, F.explode("slots").alias("s")).groupBy(*pair).agg(
@@ -122,8 +133,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, per_cent: i
         return found.join(slot, pair, "left").na.fill(0, ["n_slots", "n_changed"]).withColumn("rank", F.lit(rank))
 
     strict = cut(agreeing(aligned.where("typed")))
-    either = cut(strict.union(agreeing(aligned.where("plain"))))
-    done = counted(strict, 1).unionByName(counted(either, 0))
+    plain = aligned.where("plain")
+    same = plain.where(~F.exists("slots", lambda s: s["asked"] != s["given"])).select(*pair, "item_pos", "slots")
+    either = cut(strict.union(near_majority(plain)).union(same))
+    usual = cut(near_majority(aligned.where("typed")))
+    done = counted(strict, 2).unionByName(counted(either, 1)).unionByName(counted(usual, 0))
     best = F.max_by(
         F.struct("n_windows", "n_found", "n_slots", "n_changed"),
         F.struct("rank", F.col("n_found") / F.col("n_windows"), "variant"),

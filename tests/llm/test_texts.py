@@ -149,6 +149,16 @@ def test_copies_in_other_letter_case_or_after_other_words(spark, docs_of):
     assert {k: v[2] for k, v in got.items()} == {(1, 1): 0, (2, 1): 0, (3, 1): 0, (4, 2): 0, (5, 2): 0, (7, 2): 1}
 
 
+def test_one_clash_costs_only_its_windows(spark, docs_of):
+    tail = "and then the farmer walks along the river until the sun goes down behind the hills while his dog follows slowly and the birds sing in the tall trees near the old mill"
+    names = f"If Tom has many apples and Tom gives some away {tail}"
+    numbers = f"there are 3 apples and 3 pears in a basket {tail} of the village"
+    docs = [(1, names.replace("Tom", "Ann", 1)), (2, numbers.replace("3", "7", 1)), (3, numbers.replace("3 apples", "4 apples").replace("3 pears", "5 pears")), (4, numbers)]
+    items = spark.createDataFrame([(1, names), (2, numbers)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["n_found"] < r["n_windows"] for r in decontaminate.leaks(docs_of(docs), items).collect()}
+    assert got == {(1, 1): True, (2, 2): True, (3, 2): True, (4, 2): False}
+
+
 def test_no_documents_or_no_benchmark(spark, docs_of):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.leaks(docs_of(ODD), none).count() == 0
