@@ -2,7 +2,8 @@
 
 Paragraphs pass points for length and commas to the elements around them, discounted by the share of
 their text that is links. The best container, and siblings that score like it, are the article;
-parts that are never article text (menus, forms, adverts, comments …) are left out of it.
+parts that are never article text (menus, scripts …) are left out of it. So are forms and elements named
+like adverts, side bars or comments, unless they hold most of the page's text or its only article.
 """
 
 from __future__ import annotations
@@ -25,13 +26,17 @@ BLOCKS = set(
 )
 PARAGRAPHS = set("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcaption caption summary".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-NEVER = set("head script style textarea title xmp iframe noembed noframes noscript template nav footer aside form button select option input dialog menu svg canvas object audio video".split())
-ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+NEVER = set("head script style textarea title xmp iframe noembed noframes noscript template nav footer aside button select option input dialog menu svg canvas object audio video".split())
+ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert nav "
     "navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer header masthead topbar comment comments reply replies respond disqus discussion share sharing "
     "social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay pagination pager widget toolbar skip search".split()
 )
+#: Names of parts that may well be longer than the article they stand below.
+ANSWERS = set("comment comments reply replies respond disqus discussion".split())
+#: Words that make a name one of the layout: has-sidebar, no-ads, share-enabled.
+BEFORE, AFTER = set("has no not non with without hide show is".split()), set("enabled disabled free less".split())
 #: Opening one of these ends an open element of the set named, unless one of the scopes is met first.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "option": ({"option"}, {"select"})}
 ENDS |= {x: ({"td", "th"}, {"table", "tr"}) for x in ("td", "th")} | {"tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"})}
@@ -47,8 +52,11 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.dropped, self.heading_only = ["html"], [-1], [False], [False]
+        #: What an element is named for, where that may leave it out: "form", "named" or "answers".
+        self.doubts: dict[int, str] = {}
         self.ends: list[int] = [0]
-        self.blocks: list[tuple[int, str, int]] = []  # element, text, characters of it in links
+        self.blocks: list[list[tuple[int, str, bool]]] = []  # pieces: element, text, whether in a link
+        self.articles = 0
         self.pieces: list[tuple[int, str, bool]] = []
         self.open = [0]
         self.links = 0
@@ -56,15 +64,50 @@ class Page:
         while self.open:
             self._close()
         self._flush()
+        self._settle()
 
     def _flush(self) -> None:
         if self.pieces:
-            text = " ".join(unescape("".join(p for _, p, _ in self.pieces)).split())
-            if text:
-                linked = sum(len(p) for _, p, in_link in self.pieces if in_link)
-                self.blocks.append((self.pieces[0][0], text, min(len(text), linked)))
+            self.blocks.append(self.pieces)
             self.pieces = []
 
+    def _settle(self) -> None:
+        """Leave out the doubtful elements, but those that hold most of the page's text or its only article, main or h1.
+
+        Where an article or main with text stands free of doubt, an element beside it is left out at any length.
+        """
+        if not self.doubts:
+            return
+        n = len(self.tags)
+        chars, heads, free, inside = [0] * n, [0] * n, [True] * n, [False] * n
+        for pieces in self.blocks:
+            for element, text, in_link in pieces:
+                chars[element] += 0 if in_link else len(" ".join(text.split()))
+        for k in range(1, n):
+            free[k] = free[self.parents[k]] and k not in self.doubts
+            inside[k] = inside[self.parents[k]] or self.tags[k] in ("article", "main")
+            heads[k] = int(self.tags[k] in ("article", "main", "h1") and not self.dropped[k])
+        free_head = any(h and f for h, f in zip(heads, free))
+        for k in range(n - 1, 0, -1):
+            chars[self.parents[k]] += chars[k]
+            heads[self.parents[k]] += heads[k]
+        free_article = any(free[k] and chars[k] and not self.dropped[k] and self.tags[k] in ("article", "main") for k in range(n))
+        for k in range(1, n):
+            doubt = self.doubts.get(k)
+            most = doubt and (inside[k] or not free_article) and chars[k] * 100 > chars[0] * (90 if doubt == "answers" else 50)
+            left_out = bool(doubt) and not most and (free_head or not heads[k])
+            self.dropped[k] = self.dropped[k] or self.dropped[self.parents[k]] or left_out
+
+    def _kept(self) -> Iterator[tuple[int, str, int]]:
+        """(element, text, characters of it in links) of each block that is not left out."""
+        for block in self.blocks:
+            pieces = [x for x in block if not self.dropped[x[0]]]
+            while pieces and pieces[0][1].isspace():
+                pieces.pop(0)
+            text = " ".join(unescape("".join(p for _, p, _ in pieces)).split())
+            if text and (not self.heading_only[pieces[0][0]] or self._in_heading(pieces[0][0])):
+                yield pieces[0][0], text, min(len(text), sum(len(p) for _, p, in_link in pieces if in_link))
+
     def _text(self, text: str) -> None:
         here = self.open[-1]
         if text and not self.dropped[here] and (self.pieces or not text.isspace()):
@@ -75,6 +118,7 @@ class Page:
         self.ends[at] = len(self.tags)
         if self.tags[at] == "a":
             self.links -= 1
+        self.articles -= self.tags[at] in ("article", "main")
         if self.tags[at] in BLOCKS:
             self._flush()
 
@@ -97,13 +141,16 @@ class Page:
             self._close_to(*ENDS[tag])
         parent = self.open[-1]
         inside = self.heading_only[parent]
-        if tag == "header" and not self.dropped[parent] and any(self.tags[k] in ("article", "main") for k in self.open[-8:]):
+        if tag == "header" and not self.dropped[parent] and self.articles:
             inside = True
         elif tag == "header":
             rest += " hidden"
-        dropped = self.dropped[parent] or tag in NEVER or (bool(rest.strip(" /")) and self._named_away(tag, rest))
+        away = self._named_away(tag, rest) if rest.strip(" /") else ""
+        dropped = self.dropped[parent] or tag in NEVER or away == "hidden"
         if inside and tag in BLOCKS and tag not in HEADINGS and tag not in ("header", "div", "section"):
             dropped = True
+        if away not in ("", "hidden") or tag == "form":
+            self.doubts[len(self.tags)] = away or "form"
         self.tags.append(tag)
         self.parents.append(parent)
         self.dropped.append(dropped)
@@ -112,20 +159,30 @@ class Page:
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
             self.links += tag == "a"
+            self.articles += tag in ("article", "main")
 
     @staticmethod
-    def _named_away(tag: str, rest: str) -> bool:
+    def _named_away(tag: str, rest: str) -> str:
+        """"hidden" for what is not shown or has the role of a menu or the like, "named" or "answers" for a doubtful name, or nothing."""
         if tag in ("html", "body", "main", "article", "p", "a", "b", "i", "em", "strong") and "hidden" not in rest and "none" not in rest:
-            return False
+            return ""
+        doubt = ""
         for name, *values in ATTRIBUTE.findall(rest):
             name, value = name.lower(), "".join(values)
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                return True
+                return "hidden"
             if name == "role" and value.lower() in ROLES:
-                return True
-            if name in ("class", "id") and tag not in HEADINGS and any(x.lower() in NAMES for x in NAME_PARTS.findall(value)):
-                return True
-        return False
+                return "hidden"
+            if name == "role" and value.lower() == "form":
+                doubt = doubt or "form"
+            if name in ("class", "id") and tag not in HEADINGS:
+                for token in value.split():
+                    parts = [x.lower() for x in NAME_PARTS.findall(token)]
+                    if len(parts) > 1 and (parts[0] in BEFORE or parts[-1] in AFTER):
+                        continue
+                    if found := NAMES.intersection(parts):
+                        doubt = "answers" if found & ANSWERS else doubt or "named"
+        return doubt
 
     def _read(self, html: str) -> None:
         at, last = 0, html.rfind(">") + 1
@@ -169,7 +226,7 @@ class Page:
         """The blocks of the best container and its like, in page order."""
         n = len(self.tags)
         points, chars, linked = [0.0] * n, [0] * n, [0] * n
-        kept = [(k, t, x) for k, t, x in self.blocks if not self.dropped[k] and (not self.heading_only[k] or self._in_heading(k))]
+        kept = list(self._kept())
         for element, text, in_links in kept:
             while self.tags[element] not in BLOCKS and self.parents[element] >= 0:
                 element = self.parents[element]

@@ -263,6 +263,29 @@ def test_odd_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize("way", ["<div class='content has-sidebar'>{}</div>", "<div class=no-sidebar>{}</div>", "<div class='search-result'>{}</div>", "<div class=share-enabled>{}</div>", "<form action=x>{}</form>", "<form><div class='sidebar'>{}</div></form>"])
+@pytest.mark.parametrize("what", ["{}", "<article>{}</article>"])
+def test_names_and_forms_do_not_lose_the_article(way, what):
+    body = "".join(f"<p>Sentence {k}, with a comma, and some more words to it.</p>" for k in range(6))
+    got = html_text.main_text("<body><div class=sidebar><p>Side, side, side</p></div>" + way.format(what.format(body)) + "<form><p>Your name, please</p></form></body>")
+    assert got.count("Sentence") == 6 and "Side" not in got and "name" not in got
+
+
+def test_named_parts_go_from_inside_a_paragraph_and_answers_below_an_article():
+    page = "<body><div class=post><h1>Head</h1><p>One, two<span class=share>Share it</span> three.</p></div><div class=comments>" + "<p>Nice, nice, nice words.</p>" * 3 + "</div></body>"
+    assert html_text.main_text(page) == "Head\nOne, two three."
+
+
+def test_a_long_named_part_goes_beside_an_article_and_stays_inside_one():
+    long = "<p>Many, many, many words of some kind.</p>" * 5
+    assert html_text.main_text(f"<div class=ad>{long}</div><article><h1>Head</h1><p>One, two.</p></article>") == "Head\nOne, two."
+    assert html_text.main_text(f"<article><h1>Head</h1><div class=search-result>{long}</div></article>").count("Many") == 5
+
+
+def test_headline_far_below_its_article():
+    assert html_text.main_text("<article>" + "<div>" * 12 + "<header><h1>Head</h1></header><p>One, two, three.</p>" + "</div>" * 12 + "</article>") == "Head\nOne, two, three."
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "long, " * 200_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
