@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from daygrain.llm import decontaminate, html_text, language, licenses, line_runs, ngram_join, packing, pq_dedup, quality, token_counts
+from daygrain.llm import decontaminate, hard_negatives, html_text, language, lexical, licenses, line_runs, ngram_join, packing, pivot_search, pq_dedup, quality, token_counts
 from daygrain.llm.tables import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,6 +172,80 @@ GROUP BY doc_id
 """
 
 
+def op11_hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, from all others; the labels of every seventh are moved on by one."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+_WHOLE = """SELECT {columns}, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+OP11_SQL = f"""
+WITH vectors AS (
+    {_WHOLE.format(columns="vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label")} AND label IS NOT NULL
+), met AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM met WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN met USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five vectors of highest inner product for every fiftieth vector."""
+    return pivot_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = f"""
+WITH vectors AS (
+    {_WHOLE.format(columns="vec_id")}
+)
+SELECT a.vec_id AS query_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.e, b.e) DESC, b.vec_id)::INTEGER AS rank,
+    b.vec_id AS vec_id, list_inner_product(a.e, b.e)::BIGINT AS score
+FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+QUALIFY rank <= 5
+"""
+
+
+def op13_ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS r,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents WHERE doc_id IS NOT NULL
+), facts AS (
+    SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM words WHERE len(t) > 0
+), asked AS (
+    SELECT item_id, i, unnest(t) AS term FROM (
+        SELECT item_id, row_number() OVER () AS i,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+        FROM benchmark WHERE item_id IS NOT NULL)
+), postings AS (
+    SELECT doc_id, r, n, term, count(*) AS tf FROM (SELECT doc_id, r, len(t) AS n, unnest(t) AS term FROM words) GROUP BY ALL
+), held AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, facts GROUP BY term, docs
+), impacts AS (
+    SELECT doc_id, r, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))) AS part
+    FROM postings JOIN held USING (term), facts
+), scored AS (
+    SELECT item_id, i, doc_id, r, sum(part)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of corpus_pipeline.py over the documents."""
     return corpus_pipeline.run(spark, folder)
@@ -188,5 +262,8 @@ LLM_REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
     "op10_license_scans": (op10_license_scans, None),
+    "op11_hard_negative_mining": (op11_hard_negative_mining, OP11_SQL),
+    "op12_exact_top_k": (op12_exact_top_k, OP12_SQL),
+    "op13_ranked_lexical_search": (op13_ranked_lexical_search, OP13_SQL),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
