@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrain.llm.blocks import Best, cut_blocks, matrix, products, whole_vectors
+from daygrain.llm.blocks import EXACT_32, EXACT_64, Best, cut_blocks, matrix, most, products, whole_vectors
 from daygrain.session import cut, ship
 
 #: The slabs of the packing are laid out on no more vectors than these, taken by a hash of their id; every vector is packed.
@@ -92,9 +92,13 @@ def _intervals(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nda
     """Between which values the inner products of each row of x with the vectors of each box lie.
 
     A coordinate's product is least at one end of its interval and greatest at the other, by the sign of x.
+    Sums that doubles do not hold exactly are given some room.
     """
-    plus, minus = np.maximum(x, 0), np.minimum(x, 0)
-    return products(plus, low) + products(minus, high), products(plus, high) + products(minus, low)
+    bound = most(x) * max(most(low), most(high)) * x.shape[1]
+    kind = np.float32 if bound < EXACT_32 else np.float64
+    plus, minus, low, high = (v.astype(kind) for v in (np.maximum(x, 0), np.minimum(x, 0), low, high))
+    room = 1e-9 * bound if bound >= EXACT_64 else 0.0
+    return plus @ low.T + minus @ high.T - room, plus @ high.T + minus @ low.T + room
 
 
 def _search(k: int):
@@ -129,7 +133,7 @@ def _search(k: int):
         def offer(tree: int, leaf: int, low: np.ndarray, high: np.ndarray) -> None:
             rows = concerned(low, high)
             if len(rows):
-                heapq.heappush(queue, (-int(high[owner[rows]].max()), tree, leaf, low, high))
+                heapq.heappush(queue, (-float(high[owner[rows]].max()), tree, leaf, low, high))
 
         low, high = _intervals(x, np.stack([b[0, 0] for b in boxes]), np.stack([b[1, 0] for b in boxes]))
         for tree in range(len(boxes)):
@@ -204,12 +208,12 @@ def hard_negatives(
     asked = cut(asking.mapInPandas(cut_blocks(ANCHORS, keys, lambda part, x: {}), BLOCKS))
     shards = max(1, -(-trees.count() // SHARD))
     near = cut(_found(asked, trees, shards, True, positives))
-    scaled = lambda per_cent: F.expr(f"score * {per_cent} div 100")
+    scaled = "cast(score as decimal(38, 0)) * {}"
     window = near.where("score >= 0").select(
         "block",
         F.col("at").alias("owner"),
-        (scaled(low_per_cent) + F.expr(f"cast(score * {low_per_cent} % 100 > 0 as bigint)")).alias("least"),
-        scaled(high_per_cent).alias("greatest"),
+        F.expr(f"({scaled.format(low_per_cent)} + 99) div 100").alias("least"),
+        F.expr(f"({scaled.format(high_per_cent)}) div 100").alias("greatest"),
         F.col("other_id").alias("positive_id"),
         "place",
         F.col("score").alias("positive_score"),

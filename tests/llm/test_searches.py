@@ -57,7 +57,7 @@ def odd_vectors():
     rows += [(700 + k, rows[300][1], k % 3) for k in range(40)]  # copies: ties
     rows += [(800, None, 1), (801, [], 1), (810, [], 2), (802, [float("nan")] * 8, 1), (803, [float("inf")] + [0.0] * 7, 1), (804, [None] + [0.0] * 7, 1)]
     rows += [(805, [0.0] * 8, 1), (806, [1.0, 2.0], 1), (807, [1.5, -2.0], 2), (820, [2.0, 2.0], 1), (None, [0.5] * 8, 1), (808, [0.5] * 8, None)]
-    rows += [(850, [3e7] * 8, 1), (851, [3e7] * 7 + [-3e7], 1), (852, [2.9e7] * 8, 2), (870, rows[5][1], 0), (870, rows[6][1], 0), (871, rows[5][1], 1), (871, rows[5][1], 1)]
+    rows += [(850, [9e6] + [0.1] * 7, 1), (851, [9e6] + [-0.1] * 7, 1), (852, [-8.9e6] + [0.3] * 7, 2), (853, [8.8e6] + [0.3] * 7, 2), (870, rows[5][1], 0), (870, rows[6][1], 0), (871, rows[5][1], 1), (871, rows[5][1], 1)]
     return rows
 
 
