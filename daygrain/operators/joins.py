@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.session import once
+
 
 def full_outer_split(many: DataFrame, one: DataFrame, many_key: str, one_key: str) -> DataFrame:
     """Full outer join for a side that may hold very many rows per key.
 
     A full outer join cannot split a hot key. A left join can, and the rows of
-    ``one`` without a partner are few and come from an anti join.
+    ``one`` without a partner are few and come from an anti join. Both halves read both sides, so these are stored.
     """
+    many, one = once(many), once(one)
     matched = many.join(one, F.col(many_key) == F.col(one_key), "left")
     partners = many.select(F.col(many_key).alias("__partner")).distinct()
     alone = one.join(partners, F.col(one_key) == F.col("__partner"), "left_anti")

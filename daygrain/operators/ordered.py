@@ -46,17 +46,15 @@ def running_counts(
     return add_carried(stored, keys, chunk, {f"__here_{name}": name for name in counts})
 
 
-def add_carried(
-    stored: DataFrame, keys: Sequence[str], chunk: str, names: Mapping[str, str], among: DataFrame | None = None
-) -> DataFrame:
+def add_carried(stored: DataFrame, keys: Sequence[str], chunk: str, names: Mapping[str, str], keep: bool = False) -> DataFrame:
     """Turn counts that start anew in each chunk into counts over the whole group.
 
-    ``names`` maps the column counted inside the chunk to the result's name. ``among``
-    may narrow the rows to those of groups that can reach over a chunk's end.
+    ``names`` maps the column counted inside the chunk to the result's name; ``keep`` leaves that column too.
+    Where no group has a second chunk, nothing is joined.
     """
     before = {local: f"__before_{name}" for local, name in names.items()}
     # A count never falls, so its last value in a chunk is its greatest.
-    per_chunk = (stored if among is None else among).groupBy(*keys, chunk).agg(*[F.max(local).alias(local) for local in names])
+    per_chunk = stored.groupBy(*keys, chunk).agg(*[F.max(local).alias(local) for local in names])
     earlier = (
         Window.partitionBy(*(keys or [F.lit(0)]))
         .orderBy(F.col(chunk).asc_nulls_last())
@@ -68,10 +66,12 @@ def add_carried(
         .where(reduce(lambda a, b: a | b, [F.col(b) > 0 for b in before.values()]))
         .withColumnsRenamed({k: f"__of_{k}" for k in [*keys, chunk]})
     )
+    kept = [c for c in stored.columns if keep or c not in names]
+    if carried.isEmpty():
+        return stored.select(*kept, *[F.col(local).alias(name) for local, name in names.items()])
     same_chunk = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in [*keys, chunk]])
     return stored.join(carried, same_chunk, "left").select(
-        *[c for c in stored.columns if c not in names],
-        *[(F.col(local) + F.coalesce(F.col(before[local]), F.lit(0))).alias(name) for local, name in names.items()],
+        *kept, *[(F.col(local) + F.coalesce(F.col(before[local]), F.lit(0))).alias(name) for local, name in names.items()]
     )
 
 

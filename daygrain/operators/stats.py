@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -245,6 +244,12 @@ def logistic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.sparkSession.createDataFrame([found], schema)
 
 
+#: Draws are made modulo this prime, so that products stay below 2 ** 62.
+PRIME = 2**31 - 1
+#: Rows whose weights for all replicates are held at a time, in draws.
+DRAWS = 1 << 20
+
+
 def bootstrap_band(
     df: DataFrame,
     x: str,
@@ -254,40 +259,29 @@ def bootstrap_band(
     points: int = 100,
     seed: int = 0,
     level: float = 0.95,
+    number_of_row: Column | None = None,
 ) -> DataFrame:
     """Fitted line with a bootstrap band at evenly spaced x: (x, fit, low, high).
 
-    Replicates weigh rows by Poisson(1) draws. A draw depends on the row's ``key``, the
-    replicate and the seed only, so a lost task repeats it exactly. Rows are folded into
-    five sums per replicate before anything is shuffled. Where all x are equal there is no
-    line, and the one row of that x has NULLs.
+    Replicates weigh rows by Poisson(1) draws. A draw depends on the row's ``key`` (its hash, or
+    ``number_of_row``, a whole number), the replicate and the seed only, in whole numbers, so a lost
+    task repeats it exactly and any engine can. Each task folds its rows into five sums for each
+    replicate, by one product of weights and terms for each slice of a batch. Where all x are equal there
+    is no line, and the one row of that x has NULLs.
     """
+    ship(df.sparkSession)
+    row = F.xxhash64(*key) if number_of_row is None else number_of_row
     pairs = df.where(number(x).isNotNull() & number(y).isNotNull()).select(
-        number(x).alias("x"),
-        number(y).alias("y"),
-        F.xxhash64(F.lit(seed), *key).alias("__row"),
+        number(x).alias("x"), number(y).alias("y"), F.pmod(row.cast("bigint"), F.lit(PRIME)).cast("bigint").alias("row")
     )
     # About its centre a line loses no digits, however far from zero the data lie.
     facts = pairs.agg(F.struct(F.avg("x").alias("x"), F.avg("y").alias("y"), F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
-    drawn = pairs.select("x", "y", "__row", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("replicate"))
-    uniform = F.shiftrightunsigned(F.xxhash64("__row", "replicate"), 11) / F.lit(float(2**53))
-    # Replicate 0 is the data itself.
-    weight = F.when(F.col("replicate") == 0, F.lit(1.0)).otherwise(poisson_of(uniform))
-    w, a, b = F.col("w"), F.col("x") - F.col("facts.x"), F.col("y") - F.col("facts.y")
-    sums = (
-        drawn.withColumns({"w": weight, "facts": facts})
-        .where(w > 0)
-        .groupBy("replicate")
-        .agg(
-            F.sum(w).alias("n"),
-            F.sum(w * a).alias("sx"),
-            F.sum(w * b).alias("sy"),
-            F.sum(w * a * a).alias("sxx"),
-            F.sum(w * a * b).alias("sxy"),
-        )
-    )
+    centred = pairs.withColumn("facts", facts).select((F.col("x") - F.col("facts.x")).alias("a"), (F.col("y") - F.col("facts.y")).alias("b"), "row")
+    terms = ("n", "sx", "sy", "sxx", "sxy")
+    folded = centred.mapInArrow(_resampled(replicates, seed), "replicate int, " + ", ".join(f"{t} double" for t in terms))
+    sums = folded.groupBy("replicate").agg(*[F.sum(t).alias(t) for t in terms])
     slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
-    lines = sums.select("replicate", slope.alias("slope"), ((F.col("sy") - slope * F.col("sx")) / F.col("n")).alias("intercept"))
+    lines = sums.select("replicate", slope.alias("slope"), F.try_divide(F.col("sy") - slope * F.col("sx"), F.col("n")).alias("intercept"))
     ranged = lines.withColumn("facts", facts)
     ranged = ranged.withColumn("step", (F.col("facts.high") - F.col("facts.low")) / F.lit(float(points - 1)))
     steps = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("facts.low") + F.col("step") * i)
@@ -302,15 +296,47 @@ def bootstrap_band(
     )
 
 
-def poisson_of(uniform: Column) -> Column:
-    """Poisson(1) draw from a uniform number in [0, 1) by its distribution function, to the end of it in doubles."""
-    share, total, bounds, k = 2.718281828459045**-1, 0.0, [], 0
-    while total + share > total and total + share < 1.0:
+def _resampled(replicates: int, seed: int):
+    """Sums for each replicate over a task's rows; replicate 0 is the data itself."""
+    limits, start = poisson_limits(), draw_start(seed)
+
+    def run(batches):
+        number_of = np.arange(1, replicates + 1, dtype=np.int64)
+        sums = np.zeros((replicates + 1, 5))
+        seen = False
+        for batch in batches:
+            a, b, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "row"))
+            step = max(1, DRAWS // max(1, replicates))
+            for at in range(0, len(row), step):
+                u, v = a[at : at + step], b[at : at + step]
+                terms = np.stack((np.ones(len(u)), u, v, u * u, u * v), axis=1)
+                draws = (row[at : at + step, None] * 48271 + number_of * 16807 + start) % PRIME
+                for _ in range(3):
+                    draws = (draws * draws + draws * 69621 + 12345) % PRIME
+                weights = np.searchsorted(limits, draws.ravel(), "right").reshape(draws.shape)
+                sums[0] += terms.sum(axis=0)
+                sums[1:] += weights.T.astype(np.float64) @ terms
+                seen = True
+        if seen:
+            columns = [pa.array(np.arange(replicates + 1, dtype=np.int32)), *[pa.array(sums[:, k]) for k in range(5)]]
+            yield pa.RecordBatch.from_arrays(columns, ["replicate", "n", "sx", "sy", "sxx", "sxy"])
+
+    return run
+
+
+def draw_start(seed: int) -> int:
+    return seed * 40692 % PRIME
+
+
+def poisson_limits() -> list[int]:
+    """A draw in [0, PRIME) is a Poisson(1) number: how many of these it reaches."""
+    share, total, limits, k = 2.718281828459045**-1, 0.0, [], 0
+    while total + share > total and int((total + share) * PRIME) < PRIME - 1:
         total += share
-        bounds.append(total)
+        limits.append(int(total * PRIME))
         k += 1
         share /= k
-    return reduce(lambda a, b: a + b, [F.when(uniform >= bound, F.lit(1.0)).otherwise(F.lit(0.0)) for bound in bounds])
+    return limits
 
 
 def calendar(spark, year: int) -> DataFrame:

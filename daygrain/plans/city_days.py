@@ -90,8 +90,7 @@ def joined_days(incidents: DataFrame, weather: DataFrame, team_games: DataFrame)
     either of them is matching the one that is present.
     """
     days = incidents.join(weather, F.col("dispatch_date") == F.col("report_date"), "full")
-    # Few rows, read by both halves of the split join.
-    days = cut(days.withColumn("__day", F.coalesce("dispatch_date", "report_date")))
+    days = days.withColumn("__day", F.coalesce("dispatch_date", "report_date"))
     joined = full_outer_split(team_games, days, "game_date", "__day")
     entry = F.coalesce("dispatch_date", "report_date", "game_date").alias("entry_date")
     return joined.select(entry, *incidents.columns, *weather.columns, *team_games.columns)
@@ -101,14 +100,17 @@ def deviation(value: str, norm: str) -> Column:
     return F.col(value) - F.col(norm)
 
 
-def carried(df: DataFrame, columns: Sequence[str], rows: int = 10, block_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``<column>_lag``: on days without a game the maximum of the last rows, else the own value."""
+def carried(df: DataFrame, columns: Sequence[str], rows: int = 10, block_rows: int = CHUNK_ROWS, keys: Sequence[str] = ()) -> DataFrame:
+    """Add ``<column>_lag``: on days without a game the maximum of the last rows, else the own value.
+
+    ``keys`` name what tells cities apart in a table of several: rows of one are never carried into another.
+    """
     order = [F.col("entry_date").asc_nulls_last(), F.col("game_id").asc_nulls_last()]
-    # Even ranges of the order, so that one day may hold any share of the rows. Stored first: ranges are sampled.
-    ranged = cut(df).repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
-    placed = sequence_number(ranged, [], "__range", order, "__position")
+    # Even ranges of the order, so that one city or day may hold any share of the rows. Stored first: ranges are sampled.
+    ranged = cut(df).repartitionByRange(*keys, *order).withColumn("__range", F.spark_partition_id())
+    placed = sequence_number(ranged, keys, "__range", order, "__position")
     recent = {f"__last_{c}": (lambda w, c=c: F.max(c).over(w.rowsBetween(-(rows - 1), 0))) for c in columns}
-    looked = looking_back(placed, [], "__position", rows - 1, recent, "__block", block_rows)
+    looked = looking_back(placed, keys, "__position", rows - 1, recent, "__block", block_rows)
     lag = {f"{c}_lag": F.when(F.col("team_game_number").isNull(), F.col(f"__last_{c}")).otherwise(F.col(c)) for c in columns}
     return looked.withColumns(lag).select(*df.columns, *lag)
 

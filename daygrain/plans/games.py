@@ -8,19 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.functions.columns import by_side, concat_present, flag, outcome_label, round_to
+from daygrain.operators.asof import same_keys
 from daygrain.operators.joins import explode_either
-from daygrain.operators.ordered import (
-    CHUNK_ROWS,
-    add_carried,
-    looking_back,
-    number_chunk,
-    running_counts,
-    sequence_number,
-    trailing_share,
-)
+from daygrain.operators.ordered import CHUNK_ROWS, add_carried, number_chunk, sequence_number, trailing_share
 from daygrain.session import cut
 
 OUTCOMES = ("win", "loss", "tie")
+#: Win shares are given over so many last games.
+TRAILING = (10, 40)
 PLAYED_ORDER = ("game_number", "game_date", "game_id")
 
 
@@ -98,55 +93,86 @@ def combine_sources(historical: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def with_running_counts(team_games: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
+def with_running_counts(team_games: DataFrame, rows: int = CHUNK_ROWS, trailing_games: Sequence[int] = TRAILING) -> DataFrame:
     """Add the position in the season and the running number of each outcome.
 
-    One exchange by (season, team, chunk) serves every count; see ``operators.ordered``.
+    One exchange by (season, team, chunk) and one stored table serve every count, streak and look back:
+    all are counted inside the chunk first. Columns that begin with ``__`` keep these for ``with_records``.
+    What earlier chunks add is one small row each; usually a season fits one chunk and there is none.
     """
-    chunked = team_games.withColumn("chunk", number_chunk(F.col("game_number"), F.col("game_date"), rows))
+    keys = ["season", "team", "__chunk"]
+    chunked = team_games.withColumn("__chunk", number_chunk(F.col("game_number"), F.col("game_date"), rows))
     counts = {"position": F.lit(True), "unlabelled": F.col("outcome").isNull()}
     counts |= {f"run_{o}": F.col("outcome") == o for o in OUTCOMES}
-    return running_counts(chunked, ["season", "team"], "chunk", played_order(), counts).drop("chunk")
+    here = Window.partitionBy(*keys).orderBy(*played_order())
+    so_far = here.rowsBetween(Window.unboundedPreceding, 0)
+    counted = chunked.withColumns({f"__{name}": F.count_if(test).over(so_far) for name, test in counts.items()})
+    counted = counted.withColumns(
+        {**{f"__wins_{n}_ago": F.lag("__run_win", n).over(here) for n in trailing_games}, "__size": F.count("*").over(Window.partitionBy(*keys))}
+    )
+    # Inside a chunk an island differs from others by its distance there, as all of an outcome's ranks lack the same number.
+    island = Window.partitionBy(*keys, "__island").orderBy("__position").rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("__island", island_label(distance("__run_", "__unlabelled")))
+    stored = cut(counted.withColumn("__streak", F.count("game_number").over(island)).drop("__island"))
+    return add_carried(stored, keys[:2], "__chunk", {f"__{name}": name for name in counts}, keep=True)
+
+
+def distance(prefix: str, unlabelled: str) -> Column:
+    """How far the game number is from the rank of its outcome."""
+    rank = F.col(unlabelled)
+    for outcome in OUTCOMES:
+        rank = F.when(F.col("outcome") == outcome, F.col(f"{prefix}{outcome}")).otherwise(rank)
+    return F.col("game_number") - rank
+
+
+def island_label(far: Column) -> Column:
+    return F.concat("outcome", far.cast("string"))
 
 
 def streak_group(counted: DataFrame) -> DataFrame:
     """Label islands of equal outcomes: the outcome and its distance to the game number."""
-    rank = F.col("unlabelled")
-    for outcome in OUTCOMES:
-        rank = F.when(F.col("outcome") == outcome, F.col(f"run_{outcome}")).otherwise(rank)
-    distance = F.col("game_number") - rank
-    return counted.withColumn("distance", distance).withColumn("streak_group", F.concat("outcome", F.col("distance").cast("string")))
+    return counted.withColumn("distance", distance("run_", "unlabelled")).withColumn("streak_group", island_label(F.col("distance")))
 
 
-def may_span_blocks(stored: DataFrame) -> DataFrame:
-    """Rows whose island may continue in another block.
+def over_chunk_ends(grouped: DataFrame, trailing_games: Sequence[int]) -> DataFrame:
+    """Complete streaks and wins so many games ago where a season has several chunks.
 
-    An island has one distance, so it can only reach into blocks whose distances
-    enclose it. Without repeated game numbers that is the island at a block's edge.
+    Few rows matter: those of seasons of several chunks that stand near a chunk's end, and a count for each
+    of their islands and chunks.
     """
-    keys = ["season", "team", "outcome"]
-    spans = stored.groupBy(*keys, "block").agg(F.min("distance").alias("least"), F.max("distance").alias("most"))
-    by_block = Window.partitionBy(*keys).orderBy("block")
-    others = spans.select(
-        *[F.col(k).alias(f"__of_{k}") for k in (*keys, "block")],
-        F.max("most").over(by_block.rowsBetween(Window.unboundedPreceding, -1)).alias("__most_before"),
-        F.min("least").over(by_block.rowsBetween(1, Window.unboundedFollowing)).alias("__least_after"),
-    ).where(F.col("__most_before").isNotNull() | F.col("__least_after").isNotNull())
-    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in (*keys, "block")]
-    beside = stored.select(*keys, "block", "distance", "streak_group", "__streak").join(cut(others), same, "left")
-    reaches = (F.col("distance") <= F.col("__most_before")) | (F.col("distance") >= F.col("__least_after"))
-    return beside.where(reaches | F.col("streak_group").isNull())
-
-
-def with_records(counted: DataFrame, trailing_games: Sequence[int] = (10, 40), rows: int = CHUNK_ROWS) -> DataFrame:
-    """Signed streak, wins, losses and win shares (so far and over the last games)."""
     keys = ["season", "team"]
-    back = {f"__wins_{n}_ago": (lambda w, n=n: F.lag("run_win", n).over(w)) for n in trailing_games}
-    blocks = looking_back(streak_group(counted), keys, "position", max(trailing_games), back, "block", rows)
-    # Inside a block the island count needs no exchange of its own: it refines (season, team, block).
-    so_far = Window.partitionBy(*keys, "block", "streak_group").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    stored = cut(blocks.withColumn("__streak", F.count("game_number").over(so_far)))
-    streaks = add_carried(stored, [*keys, "streak_group"], "block", {"__streak": "streak"}, among=may_span_blocks(stored))
+    several = grouped.where("position <> __position").select(*[F.col(k).alias(f"__of_{k}") for k in keys]).distinct()
+    among = grouped.join(several, same_keys(keys, several.columns), "left_semi")
+
+    # Rows within reach of a chunk's end follow each other without a gap, from before the end to behind it.
+    reach = max(trailing_games)
+    ends = among.where((F.col("__position") <= reach) | (F.col("__position") > F.col("__size") - reach))
+    played = Window.partitionBy(*keys).orderBy("position")
+    back = {f"__back_{n}": F.lag("run_win", n).over(played) for n in trailing_games}
+    behind = ends.withColumns(back).where((F.col("__position") <= reach) & (F.col("position") > F.col("__position")))
+    behind = cut(behind.select(*[F.col(k).alias(f"__of_{k}") for k in (*keys, "position")], *back))
+
+    parts = among.groupBy(*keys, "streak_group", "__chunk").agg(F.max("__streak").alias("__part"))
+    earlier = Window.partitionBy(*keys, "streak_group").orderBy(F.col("__chunk").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn("__more", F.sum("__part").over(earlier)).where("__more > 0")
+    before = cut(before.select(*[F.col(k).alias(f"__in_{k}") for k in (*keys, "streak_group", "__chunk")], "__more"))
+
+    joined = grouped.join(behind, same_keys([*keys, "position"], behind.columns), "left")
+    joined = joined.join(before, same_keys([*keys, "streak_group", "__chunk"], before.columns), "left")
+    wins = F.col("run_win") - F.col("__run_win")
+    return joined.withColumns(
+        {
+            "__streak": F.col("__streak") + F.coalesce("__more", F.lit(0)),
+            **{f"__wins_{n}_ago": F.coalesce(F.col(f"__wins_{n}_ago") + wins, F.col(f"__back_{n}")) for n in trailing_games},
+        }
+    )
+
+
+def with_records(counted: DataFrame, trailing_games: Sequence[int] = TRAILING) -> DataFrame:
+    """Signed streak, wins, losses and win shares (so far and over the last games), from ``with_running_counts``."""
+    streaks = streak_group(counted)
+    if not counted.where("position <> __position").isEmpty():
+        streaks = over_chunk_ends(streaks, trailing_games)
     recent = lambda n: trailing_share(F.col("run_win"), F.col(f"__wins_{n}_ago"), F.col("position"), n)
     present = F.col("team").isNotNull()
     return streaks.select(
@@ -157,7 +183,7 @@ def with_records(counted: DataFrame, trailing_games: Sequence[int] = (10, 40), r
         "score",
         "home_team",
         "outcome",
-        F.when(F.col("outcome") == "win", F.col("streak")).otherwise(-F.col("streak")).alias("current_streak"),
+        F.when(F.col("outcome") == "win", F.col("__streak")).otherwise(-F.col("__streak")).alias("current_streak"),
         "game_number",
         F.coalesce("current_record_wins", F.when(present, F.col("run_win")).otherwise(F.lit(0))).alias("current_record_wins"),
         F.coalesce("current_record_losses", F.when(present, F.col("run_loss")).otherwise(F.lit(0))).alias("current_record_losses"),
@@ -179,7 +205,7 @@ SIDE_COLUMNS = (
 )
 
 
-def pair_sides(records: DataFrame, trailing_games: Sequence[int] = (10, 40)) -> DataFrame:
+def pair_sides(records: DataFrame, trailing_games: Sequence[int] = TRAILING) -> DataFrame:
     """Home and away record of each game in one row."""
     figures = [*SIDE_COLUMNS, *[f"last_{n}_win_pct" for n in trailing_games]]
 
@@ -201,4 +227,4 @@ def pair_sides(records: DataFrame, trailing_games: Sequence[int] = (10, 40)) ->
 def games(historical: DataFrame, current: DataFrame, teams: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
     """The game table: staged historical and current games to one row per game."""
     combined = combine_sources(historical_team_games(historical, teams), current_team_games(current))
-    return pair_sides(with_records(with_running_counts(combined, rows), rows=rows))
+    return pair_sides(with_records(with_running_counts(combined, rows)))

@@ -82,7 +82,14 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = fresh_folder(df.sparkSession, "stored")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._is_stored = True
+    return stored
+
+
+def once(df: DataFrame) -> DataFrame:
+    """``df`` for more than one reader: stored, unless it is a stored table already."""
+    return df if getattr(df, "_is_stored", False) else cut(df)
 
 
 @contextmanager

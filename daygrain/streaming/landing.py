@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daygrain.functions.columns import point
 from daygrain.operators.consolidate import consolidate, recompile
 from daygrain.session import cut, temporary
 from daygrain.sinks.tables import finish_pending, read_day, write_time_range
@@ -43,7 +44,8 @@ def absorb(batch: DataFrame, table: str, time: str = "reportTime") -> None:
         finish_pending(spark, table)
         inside = recompile(parsed, "file_date", time, keys=())
         begun = read_day(spark, table, first.date())
-        write_time_range(consolidate(begun, inside, time), table, time, first.date(), dt.date.max)
+        # The batch's first instant is never superseded: a later file that covers it begins with it.
+        write_time_range(consolidate(begun, inside, time, begins=point(first)), table, time, first.date(), dt.date.max)
 
 
 def run_available(stream: DataFrame, table: str, checkpoint: str, time: str = "reportTime"):

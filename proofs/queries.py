@@ -19,6 +19,7 @@ from daygrain.sinks import tables
 from daygrain.sources import files, schemas, snapshots
 from daygrain.streaming import landing as stream
 from proofs import landing
+from proofs.relations import RELATIONS
 from proofs.views import AREA, CATEGORIES, SQL, TEAM, Views, no_day, with_views, workday
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -711,18 +712,41 @@ def _(v):
     return stats.means_at(v.days(), "max_temp_deg_f", "violent_crime_per_100k").withColumns({c: C.round_to(F.col(c), 6) for c in ("mean_y", "low", "high")})
 
 
-@query("a15_bootstrap_band", None)
+def _mixed(x: str, times: int = 3) -> str:
+    """The operator's whole-number mixing of draws, in nested selects."""
+    for _ in range(times):
+        x = f"SELECT day, a, b, replicate, (u * u + u * 69621 + 12345) % {stats.PRIME} AS u FROM ({x})"
+    return x
+
+
+_BAND = f"""p AS (SELECT CAST(max_temp_deg_f AS DOUBLE) AS x, CAST(violent_crime_per_100k AS DOUBLE) AS y, date_diff('day', DATE '1970-01-01', entry_date) AS day
+    FROM stat_days WHERE max_temp_deg_f IS NOT NULL AND violent_crime_per_100k IS NOT NULL),
+    facts AS (SELECT avg(x) AS mx, avg(y) AS my, min(x) AS lo, max(x) AS hi FROM p),
+    drawn AS ({_mixed(f"""SELECT day, x - mx AS a, y - my AS b, replicate, (day * 48271 + replicate * 16807 + {stats.draw_start(0)}) % {stats.PRIME} AS u
+        FROM p, facts, (SELECT unnest(range(1, 1001)) AS replicate)""")}),
+    weighed AS (SELECT a, b, replicate, {" + ".join(f"CAST(u >= {limit} AS INT)" for limit in stats.poisson_limits())} AS w FROM drawn
+        UNION ALL SELECT x - mx, y - my, 0, 1 FROM p, facts),
+    sums AS (SELECT replicate, sum(w) AS n, sum(w * a) AS sx, sum(w * b) AS sy, sum(w * a * a) AS sxx, sum(w * a * b) AS sxy FROM weighed GROUP BY replicate),
+    lines AS (SELECT replicate, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, (sy - (n * sxy - sx * sy) / (n * sxx - sx * sx) * sx) / n AS intercept FROM sums),
+    values_at AS (SELECT replicate, i, lo + (hi - lo) / 99 * i AS x, my + intercept + slope * (lo + (hi - lo) / 99 * i - mx) AS v
+        FROM lines, facts, (SELECT unnest(range(100)) AS i))"""
+
+
+@query("a15_bootstrap_band", with_views(_STAT, select=f""", {_BAND}
+    SELECT round(x, 6) AS x, round(max(v) FILTER (replicate = 0), 6) AS fit, round(quantile_cont(v, 0.025) FILTER (replicate > 0), 6) AS low,
+    round(quantile_cont(v, 0.975) FILTER (replicate > 0), 6) AS high FROM values_at GROUP BY i, x"""))
 def _(v):
-    return stats.bootstrap_band(v.days(), "max_temp_deg_f", "violent_crime_per_100k", ["entry_date"], replicates=200, points=20)
+    band = stats.bootstrap_band(v.days(), "max_temp_deg_f", "violent_crime_per_100k", ["entry_date"], number_of_row=F.unix_date("entry_date"))
+    return band.select(*[C.round_to(F.col(c), 6).alias(c) for c in ("x", "fit", "low", "high")])
 
 
-@query("a15_line_inside_its_band", with_views(_STAT, select="""SELECT round(lo + (hi - lo) / 19 * i, 6) AS x,
-    round(intercept + slope * (lo + (hi - lo) / 19 * i), 6) AS fit, true AS inside FROM (
+@query("a15_line_inside_its_band", with_views(_STAT, select="""SELECT round(lo + (hi - lo) / 99 * i, 6) AS x,
+    round(intercept + slope * (lo + (hi - lo) / 99 * i), 6) AS fit, true AS inside FROM (
     SELECT min(max_temp_deg_f) AS lo, max(max_temp_deg_f) AS hi, regr_slope(violent_crime_per_100k, max_temp_deg_f) AS slope,
            regr_intercept(violent_crime_per_100k, max_temp_deg_f) AS intercept
-    FROM stat_days WHERE max_temp_deg_f IS NOT NULL AND violent_crime_per_100k IS NOT NULL), (SELECT unnest(range(20)) AS i)"""))
+    FROM stat_days WHERE max_temp_deg_f IS NOT NULL AND violent_crime_per_100k IS NOT NULL), (SELECT unnest(range(100)) AS i)"""))
 def _(v):
-    band = stats.bootstrap_band(v.days(), "max_temp_deg_f", "violent_crime_per_100k", ["entry_date"], replicates=200, points=20)
+    band = stats.bootstrap_band(v.days(), "max_temp_deg_f", "violent_crime_per_100k", ["entry_date"])
     return band.select(
         C.round_to(F.col("x"), 6).alias("x"), C.round_to(F.col("fit"), 6).alias("fit"), F.col("fit").between(F.col("low"), F.col("high")).alias("inside")
     )
@@ -755,7 +779,7 @@ def _(v):
 
 @query("w4_signed_streaks_w5_w6_w7_running_records", with_views("records", select="SELECT * FROM records"))
 def _(v):
-    return games.with_records(games.with_running_counts(combined_games(v), rows=64), rows=64)
+    return games.with_records(games.with_running_counts(combined_games(v), rows=64))
 
 
 @query("w8_day_norms", with_views("normed_weather", select="""SELECT report_date, max_temp_deg_f, min_temp_deg_f,
@@ -764,16 +788,30 @@ def _(v):
     return city.with_day_norms(v.weather_days())
 
 
-@query("w9_carried_forward", """WITH d AS (SELECT CAST(ts AS DATE) AS entry_date, event_id AS game_id,
-    CASE WHEN event_type = 'view' THEN event_id END AS team_game_number, CASE WHEN event_type = 'view' THEN user_id END AS wins FROM events)
-    SELECT *, CASE WHEN team_game_number IS NULL THEN max(wins) OVER (ORDER BY entry_date, game_id ROWS 9 PRECEDING) ELSE wins END AS wins_lag FROM d""")
-def _(v):
+def city_rows(v: Views) -> DataFrame:
+    """Events as days of a city's table: a third of all rows in one city, views as games."""
     played = F.col("event_type") == "view"
-    rows = v.table("events").select(
+    return v.table("events").select(
+        F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("user_id") % 5)).alias("city"),
         F.to_date("ts").alias("entry_date"), F.col("event_id").alias("game_id"),
         F.when(played, F.col("event_id")).alias("team_game_number"), F.when(played, F.col("user_id")).alias("wins"),
     )
-    return city.carried(rows, ["wins"], block_rows=1024)
+
+
+_CITY_ROWS = """SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'c' || (user_id % 5) END AS city, CAST(ts AS DATE) AS entry_date, event_id AS game_id,
+    CASE WHEN event_type = 'view' THEN event_id END AS team_game_number, CASE WHEN event_type = 'view' THEN user_id END AS wins FROM events"""
+
+
+@query("w9_carried_forward", f"""WITH d AS (SELECT * EXCLUDE (city) FROM ({_CITY_ROWS}))
+    SELECT *, CASE WHEN team_game_number IS NULL THEN max(wins) OVER (ORDER BY entry_date, game_id ROWS 9 PRECEDING) ELSE wins END AS wins_lag FROM d""")
+def _(v):
+    return city.carried(city_rows(v).drop("city"), ["wins"], block_rows=1024)
+
+
+@query("w9_carried_forward_in_each_city", f"""WITH d AS ({_CITY_ROWS})
+    SELECT *, CASE WHEN team_game_number IS NULL THEN max(wins) OVER (PARTITION BY city ORDER BY entry_date, game_id ROWS 9 PRECEDING) ELSE wins END AS wins_lag FROM d""")
+def _(v):
+    return city.carried(city_rows(v), ["wins"], block_rows=512, keys=["city"])
 
 
 @query("w10_last_row_per_day", """SELECT entry_date, game_id, o_totalprice FROM (
@@ -940,3 +978,6 @@ CITY_FIELDS = [
 @query("city_correlations", corr_sql("city_days", CITY_FIELDS, 6))
 def _(v):
     return stats.correlation_matrix(full_city_days(v), CITY_FIELDS, digits=6)
+
+
+REGISTRY.update({name: (lambda spark, folder, build=build: build(Views(spark, folder)), sql) for name, (build, sql) in RELATIONS.items()})

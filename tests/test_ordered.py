@@ -71,7 +71,7 @@ def loop_records(found):
 def test_records_equal_a_plain_loop(spark, seed, repeats, chunk):
     found = random_games(seed, repeats=repeats)
     counted = games.with_running_counts(frame(spark, found), rows=7 if chunk < 100 else chunk)
-    records = games.with_records(counted, rows=chunk).collect()
+    records = games.with_records(counted).collect()
     expected = loop_records(found)
     assert len(records) == len(found)
     for r in records:
@@ -81,7 +81,7 @@ def test_records_equal_a_plain_loop(spark, seed, repeats, chunk):
 
 def test_streak_of_one_outcome_over_many_blocks(spark):
     found = [(2000, "a", i + 1, "win", f"g{i:04d}", 5) for i in range(300)]
-    records = games.with_records(games.with_running_counts(frame(spark, found), rows=16), rows=41)
+    records = games.with_records(games.with_running_counts(frame(spark, found), rows=16))
     assert {r.game_number: r.current_streak for r in records.collect()} == {i + 1: i + 1 for i in range(300)}
 
 

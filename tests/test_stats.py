@@ -4,6 +4,8 @@ import math
 import operator
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,10 +67,21 @@ def test_bootstrap_band_is_repeatable_and_encloses_the_line(spark, rows):
     assert [r[0] for r in first] == pytest.approx([0.0, 9.75, 19.5, 29.25, 39.0])
 
 
-def test_poisson_draws_have_mean_and_variance_one(spark):
-    draws = spark.range(200000).select(stats.poisson_of(F.col("id") / 200000.0).alias("w"))
-    found = draws.agg(F.avg("w").alias("m"), F.var_pop("w").alias("v")).first()
-    assert found.m == pytest.approx(1.0, abs=1e-3) and found.v == pytest.approx(1.0, abs=1e-3)
+def test_poisson_draws_have_mean_and_variance_one():
+    even = np.searchsorted(stats.poisson_limits(), np.arange(200000) * stats.PRIME // 200000, "right")
+    assert even.mean() == pytest.approx(1.0, abs=1e-3) and even.var() == pytest.approx(1.0, abs=1e-3)
+
+
+def test_draws_differ_between_rows_and_replicates():
+    """Sums of weights of rows that are only numbered: as uneven over replicates and rows as independent draws."""
+    rows = pa.RecordBatch.from_arrays([pa.array(np.ones(500)), pa.array(np.ones(500)), pa.array(np.arange(19000, 19500))], ["a", "b", "row"])
+    (sums,) = stats._resampled(1000, 0)([rows])
+    n = sums.column("n").to_numpy()
+    assert n[0] == 500 and n[1:].mean() == pytest.approx(500, abs=4) and n[1:].var() == pytest.approx(500, rel=0.25)
+    one = pa.RecordBatch.from_arrays([pa.array([1.0]), pa.array([1.0]), pa.array([19000])], ["a", "b", "row"])
+    first, other = (next(stats._resampled(5000, seed)([one])).column("n").to_numpy()[1:] for seed in (0, 1))
+    assert first.mean() == pytest.approx(1, abs=0.08) and first.var() == pytest.approx(1, abs=0.15)
+    assert abs(np.corrcoef(first, other)[0, 1]) < 0.06 and abs(np.corrcoef(first[1:], first[:-1])[0, 1]) < 0.06
 
 
 def test_most_frequent_takes_the_smallest_of_ties(spark):
