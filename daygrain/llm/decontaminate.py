@@ -8,6 +8,9 @@ new value for each old one, and a chance likeness of templates maps one value to
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,97 +18,140 @@ from daygrain.session import cut
 
 WORDS = 5
 PER_CENT = 80
-# What a token is (a sentence mark, a number, a word), and the units that may follow a number.
-TOKEN = r"[.!?\n]|\p{Sc}?[0-9]+(?:[.,:/][0-9]+)*%?|[\p{L}\p{M}]+"
+# Scripts written without spaces, in which each character is a token; what a token is (a word or a
+# number); and the units that may follow a number.
+UNSPACED = "Han Hiragana Katakana Thai Lao Khmer Myanmar".split()
+_UNSPACED = "".join(rf"\p{{Is{s}}}" for s in UNSPACED)
+NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*%?"
+TOKEN = rf"\x01?(?:[{_UNSPACED}]|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+)|{NUMBER}"
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb pound pounds oz ounce ounces t ton tons "
     "ml l liter liters litre litres s sec second seconds min minute minutes h hour hours day days week weeks month months "
     "year years percent dollar dollars euro euros cent cents degrees mph"
 ).split()
+#: A capital that follows a token without a sentence mark or line end between them begins a name; the character 1 is put before it.
+NAME_AHEAD = rf"(?:(?<=[\p{{L}}\p{{M}}0-9])([^\p{{L}}\p{{M}}0-9.!?\n]++)|(?<=[0-9{_UNSPACED}]))(?=[\p{{Lu}}\p{{Lt}}])"
+#: What a token's code says beside its hash, and the template tokens of a name, a number and a unit.
+IS_NAME, IS_NUMBER, IS_UNIT = 1, 2, 4
+FORMS = ["majority", "caseless", "aligned"]
 
 
-
-def _is_number(token: Column) -> Column:
-    last = F.right(token, F.lit(1))
-    return last.between("0", "9") | (last == "%")
+def _tokens(text: Column) -> Column:
+    """Words, lower-cased and with the character 1 before a name, and numbers."""
+    marked = F.regexp_replace(F.translate(text, "\x01", " "), F.lit(NAME_AHEAD), F.lit("$1\x01"))
+    return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
 
 
-def _is_mark(token: Column) -> Column:
-    return token.isin(".", "!", "?", "\n")
+def _code(token: Column) -> Column:
+    """The hash of a token in the upper 61 bits; what it is in the others."""
 
+    def code(x: Column, kind: Column | int) -> Column:
+        return F.shiftleft(F.xxhash64(x), 3).bitwiseOR(F.lit(kind).cast("bigint") if isinstance(kind, int) else kind)
 
-def _kind(token: Column, before: Column, names: bool = True) -> Column:
-    """The template token: null for a mark, a placeholder for a number, a name (if asked for) or a unit, or the lower-cased word."""
-    initial = F.left(token, F.lit(1))
-    kind = F.when(token.isNull() | _is_mark(token), F.lit(None).cast("string")).when(_is_number(token), "#")
-    if names:
-        kind = kind.when((F.lower(initial) != initial) & ~_is_mark(before), "^")
-    return kind.when(_is_number(before) & F.lower(token).isin(*UNITS), "~").otherwise(F.lower(token))
+    unit = lambda x: F.when(x.isin(*UNITS), F.lit(IS_UNIT).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    name = F.substr(token, F.lit(2))
+    return F.when(token < "\x02", code(name, unit(name).bitwiseOR(F.lit(IS_NAME).cast("bigint")))).when(token < ":", code(token, IS_NUMBER)).otherwise(code(token, unit(token)))
 
 
-def template_windows(texts: DataFrame, *keys: str, tokens: bool = False, words: int = WORDS) -> DataFrame:
-    """(keys, pos, window, typed): the hash of each window of template tokens, with its tokens if asked for.
+def _hashed(texts: DataFrame, keys: tuple[str, ...], tokens: bool) -> DataFrame:
+    """(keys, codes): the code of each token, and the token itself in ``found`` if asked for."""
+    found = texts.select(*keys, _tokens(F.col("text")).alias("found"))
+    # A row-making step keeps the optimizer from moving the expression of the tokens into each of its uses.
+    found = found.select(*keys, F.explode(F.array("found")).alias("found")).where(F.size("found") > 0)
+    kept = [F.transform("found", lambda x: F.ltrim(x, F.lit("\x01"))).alias("found")] if tokens else []
+    return found.select(*keys, F.transform("found", _code).alias("codes"), *kept)
 
-    A window that holds a name has a second row, not ``typed``, in which names are lower-cased words.
-    """
-    found = texts.select(*keys, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("found"))
-    # The token before each one comes from a shifted copy: a look into the outer array from inside the
-    # lambda would be evaluated anew for each token wherever the optimizer moves this expression.
-    before = F.concat(F.array(F.lit("\n")), F.col("found"))
-    typed = found.select(
-        *keys,
-        F.filter(F.zip_with("found", before, lambda x, y: _kind(x, y)), lambda x: x.isNotNull()).alias("kinds"),
-        F.filter(F.zip_with("found", before, lambda x, y: _kind(x, y, names=False)), lambda x: x.isNotNull()).alias("plain"),
-        *([F.filter("found", lambda x: ~_is_mark(x)).alias("found")] if tokens else []),
-    )
 
-    def hashes(column: str) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(column) - words), lambda i: F.xxhash64(*(F.col(column)[i + k] for k in range(words))))
+def _windows(coded: DataFrame, keys: tuple[str, ...], size: int, verbatim: bool, tokens: bool) -> DataFrame:
+    """(keys, pos, window, typed, wordless): the hash of each window of ``size`` template tokens, with kinds and tokens if asked for.
 
-    both = F.when(F.size("kinds") >= words, F.arrays_zip(hashes("kinds").alias("one"), hashes("plain").alias("two")))
-    rows = typed.select(*keys, *(["kinds", "plain", "found"] if tokens else []), F.posexplode(both).alias("pos", "both"))
-    forms = F.array(F.col("both.one"), F.when(F.col("both.two") != F.col("both.one"), F.col("both.two")))
-    rows = rows.select(*[c for c in rows.columns if c != "both"], F.posexplode(forms).alias("form", "window")).where("window IS NOT NULL")
-    rows = rows.withColumn("typed", F.col("form") == 0).drop("form")
-    if not tokens:
-        return rows
-    kinds = F.when(F.col("typed"), F.col("kinds")).otherwise(F.col("plain"))
-    pick = [F.slice(c, F.col("pos") + 1, F.lit(words)).alias(n) for n, c in (("kinds", kinds), ("found", F.col("found")))]
-    return rows.select(*keys, "pos", "window", "typed", *pick)
+    A window that holds a name has a second row, not ``typed``, in which names are words. A window without
+    a word, or each one if ``verbatim``, goes by its values in place of its placeholders.
+    """
+    at = F.when(F.size("codes") >= size, F.sequence(F.lit(0), F.size("codes") - size))
+    rows = coded.select(*keys, "codes", *(["found"] if tokens else []), F.explode(at).alias("pos"))
+    codes = [F.get("codes", F.col("pos") + k) for k in range(-1, size)]
+    is_ = lambda c, kind: F.coalesce(c.bitwiseAND(F.lit(kind).cast("bigint")) != 0, F.lit(False))
+    value = [c.bitwiseAND(F.lit(-8).cast("bigint")) for c in codes[1:]]
+    long = lambda n: F.lit(n).cast("bigint")
+    plain = [
+        F.when(is_(c, IS_NUMBER), long(IS_NUMBER)).when(is_(c, IS_UNIT) & is_(before, IS_NUMBER), long(IS_UNIT)).otherwise(v)
+        for before, c, v in zip(codes, codes[1:], value)
+    ]
+    kinds = [F.when(is_(c, IS_NAME), long(IS_NAME)).otherwise(p) for c, p in zip(codes[1:], plain)]
+    words = lambda of: reduce(or_, [k.bitwiseAND(long(7)) == 0 for k in of])
+    by_value = F.xxhash64(long(-size), *value)
+    has_name = reduce(or_, [is_(c, IS_NAME) for c in codes[1:]])
+    if verbatim:
+        one, two = by_value, F.lit(None).cast("bigint")
+    else:
+        one = F.when(words(kinds), F.xxhash64(*kinds)).otherwise(by_value)
+        two = F.when(has_name, F.when(words(plain), F.xxhash64(*plain)).otherwise(by_value))
+    more = [F.array(*kinds).alias("k1"), F.array(*plain).alias("k2"), F.slice("found", F.col("pos") + 1, F.lit(size)).alias("found")] if tokens else []
+    rows = rows.select(*keys, "pos", (~words(kinds)).alias("wordless"), F.posexplode(F.array(one, two)).alias("form", "window"), *more).where("window IS NOT NULL")
+    typed = F.col("form") == 0
+    kind = [F.when(typed, F.col("k1")).otherwise(F.col("k2")).alias("kinds"), "found"] if tokens else []
+    return rows.select(*keys, "pos", "window", typed.alias("typed"), "wordless", *kind)
+
+
+def template_windows(texts: DataFrame, *keys: str, tokens: bool = False, words: int = WORDS, short: tuple[int, ...] = ()) -> DataFrame:
+    """The windows of ``words`` template tokens of each text, and by their values those of the sizes in ``short``."""
+    coded = _hashed(texts, keys, tokens)
+    return reduce(DataFrame.unionByName, [_windows(coded, keys, size, size != words, tokens) for size in (words, *short)])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
     """One row for each document and benchmark item whose template windows it holds to ``per_cent`` at least.
 
-    Columns: doc_id, item_id, n_windows of the item, n_found of them, n_slots (placeholders met) and
-    n_changed (those with another value than the item's; 0 for a plain copy). Windows count where
-    the alignment they lie in maps every slot value of the item to one value of the document. Where
-    these are too few, windows without regard to letter case count beside them, in which only numbers
-    and units are slots, if their slots have the item's values or those that most slots of the
-    alignment give them; where these are too few as well, typed windows whose slots agree with that
-    majority. n_found, n_slots and n_changed are of the windows that were enough.
-    Null and empty texts, texts and items of fewer than ``words`` tokens, and rows without an id match
-    nothing. Rows of one doc_id count as one document; rows of one item_id with different texts are
-    variants, of which the best counts. Other columns are ignored.
+    Columns: doc_id, item_id, n_windows of the item, n_found of them, n_slots (placeholders met),
+    n_changed (those with another value than the item's; 0 for a plain copy) and form, which says the windows
+    that were enough:
+
+    * aligned: windows of the alignments that map every slot value of the item to one value of the document;
+    * caseless: these, and windows without regard to letter case, in which only numbers and units are slots, if
+      their slots have the item's values or those that most slots of the alignment give them;
+    * majority: windows whose slots agree with what most slots of the alignment give them.
+
+    The first form that is enough counts. A window without a word goes by its values; it counts only for an item
+    that has no other. An item of fewer than ``words`` tokens is one window of its own length, by its values: it is
+    found where it stands word for word, so that an item of one word is found wherever that word is. In scripts
+    without spaces each character is a token. Tokens are compared by hashes of 61 bits, windows by 64.
+
+    Null texts, texts without a token and rows without an id match nothing. Rows of one doc_id count as one
+    document; rows of one item_id with different texts are variants, of which the best counts. Other columns are
+    ignored. A document that repeats one window of an item again and again is compared at each place.
     """
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct().withColumn("variant", F.xxhash64("text"))
-    wanted = cut(template_windows(items, "item_id", "variant", tokens=True, words=words).withColumnRenamed("pos", "item_pos").withColumnRenamed("typed", "item_typed"))
-    total = wanted.where("item_typed").groupBy("item_id", "variant").agg(F.count("*").alias("n_windows"))
+    own = ("item_id", "variant")
+    coded = cut(_hashed(items, own, True).withColumn("size", F.least(F.size("codes"), F.lit(words))))
+    sizes = sorted(r["size"] for r in coded.select("size").distinct().collect())
+    short = tuple(n for n in sizes if n < words)
+    parts = [_windows(coded.where(F.col("size") == n), own, n, n < words, True).withColumn("size", F.lit(n)) for n in (words, *short)]
+    every = cut(reduce(DataFrame.unionByName, parts))
+    # Windows without a word count only where the item has no others.
+    rich = every.where("typed AND NOT wordless").select(*own).distinct()
+    spare = every.where("wordless AND size = " + str(words)).select(*own, "pos").distinct().join(rich, list(own))
+    wanted = every.join(spare, [*own, "pos"], "left_anti")
+    wanted = cut(wanted.drop("wordless", "size").withColumnsRenamed({"pos": "item_pos", "typed": "item_typed"}))
+    total = wanted.where("item_typed").groupBy(*own).agg(F.count("*").alias("n_windows"))
     # The stored windows have a known size: the planner broadcasts them, or shuffles where they are many.
-    small = cut(wanted.select("window", "item_id", "variant", "item_pos"))
-    met = template_windows(docs, "doc_id", words=words).join(small, "window")
+    small = cut(wanted.select("window").distinct())
     enough = F.col("n_found") * 100 >= F.col("n_windows") * per_cent
     pair = ["doc_id", "item_id", "variant"]
-    pairs = cut(met.groupBy(*pair).agg(F.count_distinct("item_pos").alias("n_found")).join(total, ["item_id", "variant"]).where(enough).select(*pair))
+    # Each window of a document once, however often it stands there.
+    met = cut(template_windows(docs, "doc_id", words=words, short=short).select("doc_id", "window").join(small, "window").distinct())
+    places = met.join(wanted.select("window", *own, "item_pos"), "window")
+    pairs = cut(places.groupBy(*pair).agg(F.count_distinct("item_pos").alias("n_found")).join(total, [*own]).where(enough).select(*pair))
     ids = cut(pairs.select("doc_id").distinct())
-    again = template_windows(docs.join(ids, "doc_id", "left_semi"), "doc_id", tokens=True, words=words).withColumnRenamed("found", "said").drop("kinds")
+    again = template_windows(docs.join(ids, "doc_id", "left_semi"), "doc_id", tokens=True, words=words, short=short)
+    again = again.withColumnRenamed("found", "said").drop("kinds", "wordless")
     aligned = again.join(wanted, "window").join(pairs, pair).withColumn("shift", F.col("pos") - F.col("item_pos"))
     slots = F.transform(
-        "kinds", lambda k, i: F.struct((F.col("item_pos") + i).alias("at"), k.alias("kind"), F.lower(F.col("found")[i]).alias("asked"), F.lower(F.col("said")[i]).alias("given"))
+        "kinds", lambda k, i: F.struct((F.col("item_pos") + i).alias("at"), k.alias("kind"), F.col("found")[i].alias("asked"), F.col("said")[i].alias("given"))
     )
-    slots = F.filter(slots, lambda s: s["kind"].isin("#", "^", "~"))
-    forms = (F.col("typed") & F.col("item_typed")).alias("typed"), (~F.array_contains("kinds", "^")).alias("plain")
+    slots = F.filter(slots, lambda s: s["kind"].isin(IS_NAME, IS_NUMBER, IS_UNIT))
+    forms = (F.col("typed") & F.col("item_typed")).alias("typed"), (~F.exists("kinds", lambda k: k == IS_NAME)).alias("plain")
     aligned = cut(aligned.select(*pair, "shift", "item_pos", *forms, slots.alias("slots")))
     place = [*pair, "shift"]
 
@@ -138,8 +184,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, per_cent: i
     either = cut(strict.union(near_majority(plain)).union(same))
     usual = cut(near_majority(aligned.where("typed")))
     done = counted(strict, 2).unionByName(counted(either, 1)).unionByName(counted(usual, 0))
+    form = F.element_at(F.array(*map(F.lit, FORMS)), F.col("rank") + 1).alias("form")
     best = F.max_by(
-        F.struct("n_windows", "n_found", "n_slots", "n_changed"),
+        F.struct("n_windows", "n_found", "n_slots", "n_changed", form),
         F.struct("rank", F.col("n_found") / F.col("n_windows"), "variant"),
     )
     return done.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")

@@ -108,44 +108,88 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-_NUMBER = "right({0}, 1) BETWEEN '0' AND '9' OR right({0}, 1) = '%'"
-_MARK = "{0} IN ('.', '!', '?', chr(10))"
 _UNITS = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
-OP7_SQL = f"""
+_UNSPACED = "".join(f"\\p{{{script}}}" for script in decontaminate.UNSPACED)
+_MARKS = "('.', '!', '?', chr(10))"
+OP7_SQL = rf"""
 WITH texts AS (
-    SELECT doc_id AS id, true AS is_doc, text FROM documents WHERE doc_id IS NOT NULL
-    UNION ALL SELECT item_id, false, text FROM benchmark WHERE item_id IS NOT NULL
+    SELECT doc_id AS id, true AS is_doc, '' AS variant, text FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL SELECT DISTINCT item_id, false, text, text FROM benchmark WHERE item_id IS NOT NULL
 ), found AS (
-    SELECT id, is_doc, regexp_extract_all(text, '{decontaminate.TOKEN}') AS t FROM texts
-), typed AS (
-    SELECT id, is_doc, list_filter(list_transform(t, lambda x, i: CASE
-        WHEN {_MARK.format("x")} THEN NULL
-        WHEN {_NUMBER.format("x")} THEN {{'k': '#', 'v': lower(x)}}
-        WHEN lower(left(x, 1)) <> left(x, 1) AND i > 1 AND NOT ({_MARK.format("t[i - 1]")}) THEN {{'k': '^', 'v': lower(x)}}
-        WHEN i > 1 AND ({_NUMBER.format("t[i - 1]")}) AND lower(x) IN ({_UNITS}) THEN {{'k': '~', 'v': lower(x)}}
-        ELSE {{'k': lower(x), 'v': lower(x)}} END), lambda x: x IS NOT NULL) AS s
+    SELECT id, is_doc, variant, regexp_extract_all(
+        regexp_replace(replace(text, chr(1), ' '), '([{_UNSPACED}])', ' \1 ', 'g'), '[.!?\n]|{decontaminate.NUMBER}|[\p{{L}}\p{{M}}]+') AS t
+    FROM texts
+), named AS (
+    SELECT id, is_doc, variant, list_filter(list_transform(t, lambda x, i: CASE WHEN x NOT IN {_MARKS} THEN
+        {{'v': lower(x), 'name': i > 1 AND regexp_matches(x, '^[\p{{Lu}}\p{{Lt}}]') AND t[i - 1] NOT IN {_MARKS}}} END), lambda x: x IS NOT NULL) AS s
     FROM found
+), typed AS (
+    SELECT id, is_doc, variant, len(s) AS n, list_transform(s, lambda x, i: {{'v': x.v, 'name': x.name, 'plain': CASE
+        WHEN x.v[1] BETWEEN '0' AND '9' THEN '#' WHEN i > 1 AND s[i - 1].v[1] BETWEEN '0' AND '9' AND x.v IN ({_UNITS}) THEN '~' ELSE x.v END}}) AS s
+    FROM named WHERE len(s) > 0
+), sizes AS (
+    SELECT DISTINCT least(n, 5) AS size FROM typed WHERE NOT is_doc UNION SELECT 5
+), places AS (
+    SELECT id, is_doc, variant, s, size, unnest(range(1, n - size + 2)) AS p
+    FROM typed JOIN sizes ON n >= size AND (is_doc OR size = least(n, 5))
+), slices AS (
+    SELECT id, is_doc, variant, size, p, list_transform(s[p:p + size - 1], lambda x: x.v) AS v,
+        list_transform(s[p:p + size - 1], lambda x: CASE WHEN x.name THEN '^' ELSE x.plain END) AS kinds,
+        list_transform(s[p:p + size - 1], lambda x: x.plain) AS plain
+    FROM places
+), forms AS (
+    SELECT * EXCLUDE (plain, kinds), kinds AS k, true AS typed, len(list_filter(kinds, lambda x: x NOT IN ('#', '^', '~'))) = 0 AS wordless FROM slices
+    UNION ALL SELECT * EXCLUDE (plain, kinds), plain, false, len(list_filter(kinds, lambda x: x NOT IN ('#', '^', '~'))) = 0
+    FROM slices WHERE size = 5 AND list_contains(kinds, '^')
 ), windows AS (
-    SELECT id, is_doc, p, s[p:p + 4] AS w, array_to_string(list_transform(s[p:p + 4], lambda x: x.k), chr(31)) AS key
-    FROM (SELECT *, unnest(range(1, len(s) - 3)) AS p FROM typed WHERE len(s) >= 5)
+    SELECT *, CASE WHEN size = 5 AND len(list_filter(k, lambda x: x NOT IN ('#', '^', '~'))) > 0 THEN 'by template' || chr(31) || array_to_string(k, chr(31))
+        ELSE size || 'by value' || chr(31) || array_to_string(v, chr(31)) END AS key
+    FROM forms
+), rich AS (
+    SELECT DISTINCT id, variant FROM windows WHERE NOT is_doc AND typed AND NOT wordless
+), wanted AS (
+    SELECT w.* FROM windows w LEFT JOIN rich r ON r.id = w.id AND r.variant = w.variant WHERE NOT is_doc AND NOT (wordless AND size = 5 AND r.id IS NOT NULL)
 ), total AS (
-    SELECT id AS item_id, count(*) AS n_windows FROM windows WHERE NOT is_doc GROUP BY id
+    SELECT id AS item_id, variant, count(*) AS n_windows FROM wanted WHERE typed GROUP BY ALL
 ), met AS (
-    SELECT d.id AS doc_id, i.id AS item_id, i.p AS item_pos, d.p - i.p AS shift, d.w AS dw, i.w AS iw
-    FROM windows d JOIN windows i ON d.is_doc AND NOT i.is_doc AND d.key = i.key
+    SELECT row_number() OVER () AS r, d.id AS doc_id, i.id AS item_id, i.variant, d.p - i.p AS shift, i.p AS item_pos,
+        d.typed AND i.typed AS typed, NOT list_contains(i.k, '^') AS plain, i.k, i.v AS iv, d.v AS dv
+    FROM windows d JOIN wanted i ON d.is_doc AND d.key = i.key
 ), slots AS (
-    SELECT DISTINCT doc_id, item_id, shift, item_pos + j AS pos, iw[j].k AS kind, iw[j].v AS asked, dw[j].v AS given
-    FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS j FROM met) WHERE iw[j].k IN ('#', '^', '~')
+    SELECT r, doc_id, item_id, variant, shift, item_pos, typed, plain, item_pos + j AS pos, k[j] AS kind, iv[j] AS asked, dv[j] AS given
+    FROM (SELECT *, unnest(range(1, len(k) + 1)) AS j FROM met) WHERE k[j] IN ('#', '^', '~')
 ), clashes AS (
-    SELECT DISTINCT doc_id, item_id, shift FROM slots GROUP BY doc_id, item_id, shift, kind, asked HAVING count(DISTINCT given) > 1
-), good AS (
-    SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_found FROM met ANTI JOIN clashes USING (doc_id, item_id, shift) GROUP BY ALL
-), seen AS (
-    SELECT doc_id, item_id, count(DISTINCT pos) AS n_slots, count(DISTINCT pos) FILTER (asked <> given) AS n_changed
-    FROM slots ANTI JOIN clashes USING (doc_id, item_id, shift) GROUP BY ALL
+    SELECT DISTINCT doc_id, item_id, variant, shift FROM slots WHERE typed
+    GROUP BY doc_id, item_id, variant, shift, kind, asked HAVING count(DISTINCT given) > 1
+), strict AS (
+    SELECT r, doc_id, item_id, variant, item_pos FROM met ANTI JOIN clashes USING (doc_id, item_id, variant, shift) WHERE typed
+), votes AS (
+    SELECT f.form, doc_id, item_id, variant, shift, kind, asked, given, count(DISTINCT pos) AS n
+    FROM slots JOIN (VALUES ('typed'), ('plain')) f(form) ON CASE f.form WHEN 'typed' THEN typed ELSE plain END GROUP BY ALL
+), usual AS (
+    SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY form, doc_id, item_id, variant, shift, kind, asked ORDER BY n DESC, given = asked DESC, given DESC) = 1
+), odd AS (
+    SELECT DISTINCT u.form, s.doc_id, s.item_id, s.variant, s.shift, s.item_pos
+    FROM slots s JOIN usual u USING (doc_id, item_id, variant, shift, kind, asked)
+    WHERE s.given <> u.given AND CASE u.form WHEN 'typed' THEN s.typed ELSE s.plain END
+), near AS (
+    SELECT f.form, r, doc_id, item_id, variant, item_pos
+    FROM (SELECT m.*, f.form FROM met m JOIN (VALUES ('typed'), ('plain')) f(form) ON CASE f.form WHEN 'typed' THEN typed ELSE plain END) f
+    ANTI JOIN odd USING (form, doc_id, item_id, variant, shift, item_pos)
+), same AS (
+    SELECT r, doc_id, item_id, variant, item_pos FROM met WHERE plain AND r NOT IN (SELECT r FROM slots WHERE asked <> given)
+), enough AS (
+    SELECT 2 AS rank, * FROM strict
+    UNION ALL SELECT 1, * FROM (SELECT * FROM strict UNION SELECT * EXCLUDE (form) FROM near WHERE form = 'plain' UNION SELECT * FROM same)
+    UNION ALL SELECT 0, * EXCLUDE (form) FROM near WHERE form = 'typed'
+), counted AS (
+    SELECT rank, doc_id, item_id, variant, count(DISTINCT e.item_pos) AS n_found, count(DISTINCT s.pos) AS n_slots,
+        count(DISTINCT s.pos) FILTER (s.asked <> s.given) AS n_changed
+    FROM enough e LEFT JOIN (SELECT r, pos, asked, given FROM slots) s USING (r) GROUP BY ALL
 )
-SELECT doc_id, item_id, n_windows, n_found, coalesce(n_slots, 0) AS n_slots, coalesce(n_changed, 0) AS n_changed
-FROM good JOIN total USING (item_id) LEFT JOIN seen USING (doc_id, item_id) WHERE 100 * n_found >= 80 * n_windows
+SELECT doc_id, item_id, n_windows, n_found, n_slots, n_changed, ['majority', 'caseless', 'aligned'][rank + 1] AS form
+FROM counted JOIN total USING (item_id, variant) WHERE 100 * n_found >= 80 * n_windows
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY rank DESC, n_found / n_windows DESC) = 1
 """
 
 

@@ -159,6 +159,74 @@ def test_one_clash_costs_only_its_windows(spark, docs_of):
     assert got == {(1, 1): True, (2, 2): True, (3, 2): True, (4, 2): False}
 
 
+def leaked(spark, docs_of, docs, items):
+    found = decontaminate.leaks(docs_of(docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    return {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_found"], r["n_changed"], r["form"]) for r in found.collect()}
+
+
+def test_items_of_fewer_tokens_than_a_window_are_found_word_for_word(spark, docs_of):
+    items = [(1, "What is 2+2?"), (2, "Who wrote Hamlet?"), (3, "Pi?"), (4, "...")]
+    docs = [(1, "Tell me: what is 2 + 2? I wonder."), (2, "Question: who wrote Hamlet? Nobody knows."), (3, "What is 2+3? Who wrote the play?"), (4, "Take Pi."), (5, "WHO WROTE HAMLET"), (6, "What is 2")]
+    assert leaked(spark, docs_of, docs, items) == {(1, 1): (1, 1, 0, "aligned"), (2, 2): (1, 1, 0, "aligned"), (4, 3): (1, 1, 0, "aligned"), (5, 2): (1, 1, 0, "aligned")}
+
+
+def test_scripts_without_spaces_are_found_character_by_character(spark, docs_of):
+    item, thai = "\u65e5\u672c\u306e\u9996\u90fd\u306f\u3069\u3053\u3067\u3059\u304b", "\u0e40\u0e21\u0e37\u0e2d\u0e07\u0e2b\u0e25\u0e27\u0e07"
+    docs = [(1, f"\u8cea\u554f{item}\u3002Tokyo"), (2, item[:5] + "\u5927" + item[6:]), (3, f"x {thai} y"), (4, "\u65e5\u672c")]
+    got = leaked(spark, docs_of, docs, [(1, item), (2, thai), (3, "\u65e5\u672c\u4eba")])
+    assert set(got) == {(1, 1), (3, 2)} and all(found == n for n, found, *_ in got.values())
+
+
+def test_tables_of_numbers_meet_by_their_values_only(spark, docs_of):
+    numbers = " ".join(str(k) for k in range(100, 160))
+    plain = "Please add up the following numbers and tell me what you get"
+    items = [(1, f"{plain} {numbers}"), (2, numbers)]
+    docs = [(1, " ".join(str(k) for k in range(3000, 6000))), (2, f"{plain} {numbers}"), (3, f"{plain} " + " ".join(str(k) for k in range(700, 760))), (4, numbers)]
+    got = leaked(spark, docs_of, docs, items)
+    assert set(got) == {(2, 1), (2, 2), (3, 1), (4, 2)}
+    # Windows without a word count for the item that has no others.
+    assert got[2, 1][0] == 12 and got[4, 2][0] == 56 and got[3, 1][2] > 0
+
+
+def test_forms_say_what_was_enough(spark, docs_of):
+    tail = "and then the farmer walks along the river until the sun goes down behind the hills while his dog follows slowly"
+    names = f"If Tom has many apples and Tom gives some away {tail}"
+    docs = [(1, names), (2, names.upper()), (3, names.replace("Tom", "Ann", 1))]
+    got = leaked(spark, docs_of, docs, [(1, names)])
+    assert {k: v[3] for k, v in got.items()} == {(1, 1): "aligned", (2, 1): "caseless", (3, 1): "caseless"}
+
+
+def test_a_word_repeated_on_and_on(spark, docs_of):
+    got = leaked(spark, docs_of, [(1, "ha " * 3000), (2, "ha " * 4)], [(1, "ha " * 20), (2, "the ha " * 10)])
+    assert set(got) == {(1, 1)}
+
+
+def test_the_registered_sql_says_what_the_query_does(spark, tmp_path):
+    import duckdb
+
+    from daygrain.llm.queries import LLM_REGISTRY
+
+    build, sql = LLM_REGISTRY["op7_benchmark_decontamination"]
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    twice = ITEM.replace("Boston", "Paris").replace("60", "75.5").replace("3 hours", "4 hours")
+    texts = [ITEM, ITEM.upper(), twice, f"Q: what is 2 + 2? \u65e5\u672c\u306e\u9996\u90fd\u306f?", "1 2 3 4 5 6 7 8 9", ITEM.replace("Alice", "Eve", 1) + ITEM, None, "", "5 Miles. Then 7 miles, 8 Bob"]
+    extra = spark.createDataFrame([(900_000 + k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", "text").union(extra)
+    items = spark.createDataFrame([(1000 + k, t) for k, t in enumerate([ITEM, "What is 2+2?", "\u65e5\u672c\u306e\u9996\u90fd\u306f?", "1 2 3 4 5 6 7", None, ""])], "item_id bigint, text string")
+    bench = spark.read.parquet(f"{tmp_path}/benchmark.parquet").union(items)
+    docs.write.parquet(f"{tmp_path}/more/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/more/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/more/{name}.parquet/*.parquet'")
+    rel = con.execute(sql)
+    names = [c[0] for c in rel.description]
+    expected = sorted(rel.fetchall())
+    assert sorted(tuple(r[c] for c in names) for r in build(spark, f"{tmp_path}/more").collect()) == expected
+    assert len(expected) >= 9 and {r[names.index("form")] for r in expected} >= {"aligned", "caseless"}
+
+
 def test_no_documents_or_no_benchmark(spark, docs_of):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.leaks(docs_of(ODD), none).count() == 0
