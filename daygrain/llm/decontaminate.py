@@ -18,19 +18,18 @@ from daygrain.session import cut
 
 WORDS = 5
 PER_CENT = 80
-# Scripts written without spaces, in which each character is a token; what a token is (a word or a
-# number); and the units that may follow a number.
-UNSPACED = "Han Hiragana Katakana Thai Lao Khmer Myanmar".split()
-_UNSPACED = "".join(rf"\p{{Is{s}}}" for s in UNSPACED)
+# Scripts written without spaces, in which each character is a token (Thai, Lao, Myanmar, Khmer, kana, Han);
+# what a token is (a word or a number); and the units that may follow a number. Letters come first in classes: most are among them.
+UNSPACED = r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
 NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*%?"
-TOKEN = rf"\x01?(?:[{_UNSPACED}]|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+)|{NUMBER}"
+TOKEN = rf"\x01?(?:[a-z[\p{{L}}\p{{M}}&&[^{UNSPACED}]]]++|[{UNSPACED}&&[\p{{L}}\p{{M}}]])|{NUMBER}"
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb pound pounds oz ounce ounces t ton tons "
     "ml l liter liters litre litres s sec second seconds min minute minutes h hour hours day days week weeks month months "
     "year years percent dollar dollars euro euros cent cents degrees mph"
 ).split()
 #: A capital that follows a token without a sentence mark or line end between them begins a name; the character 1 is put before it.
-NAME_AHEAD = rf"(?:(?<=[\p{{L}}\p{{M}}0-9])([^\p{{L}}\p{{M}}0-9.!?\n]++)|(?<=[0-9{_UNSPACED}]))(?=[\p{{Lu}}\p{{Lt}}])"
+NAME_AHEAD = rf"(?:(?<=[a-zA-Z0-9\p{{L}}\p{{M}}])([^a-zA-Z0-9.!?\n\p{{L}}\p{{M}}]++)|(?<=[0-9{UNSPACED}]))(?=[A-Z\p{{Lu}}\p{{Lt}}])"
 #: What a token's code says beside its hash, and the template tokens of a name, a number and a unit.
 IS_NAME, IS_NUMBER, IS_UNIT = 1, 2, 4
 FORMS = ["majority", "caseless", "aligned"]
@@ -42,24 +41,44 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
 
 
-def _code(token: Column) -> Column:
-    """The hash of a token in the upper 61 bits; what it is in the others."""
+def _code(token: Column, before: Column) -> Column:
+    """The hash of a token in the upper 61 bits; whether it is a name, a number or the unit of one in the others."""
+    code = lambda x, kind: F.shiftleft(F.xxhash64(x), 3).bitwiseOR(F.lit(kind).cast("bigint"))
+    after_number = F.coalesce(before < ":", F.lit(False)) & F.coalesce(before > "/", F.lit(False))
+    name = F.substr(token, F.lit(2))
+    unit = lambda x: after_number & x.isin(*UNITS)
+    return (
+        F.when(token < "\x02", F.when(unit(name), code(name, IS_NAME | IS_UNIT)).otherwise(code(name, IS_NAME)))
+        .when(token < ":", code(token, IS_NUMBER))
+        .when(unit(token), code(token, IS_UNIT))
+        .otherwise(code(token, 0))
+    )
 
-    def code(x: Column, kind: Column | int) -> Column:
-        return F.shiftleft(F.xxhash64(x), 3).bitwiseOR(F.lit(kind).cast("bigint") if isinstance(kind, int) else kind)
 
-    unit = lambda x: F.when(x.isin(*UNITS), F.lit(IS_UNIT).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    name = F.substr(token, F.lit(2))
-    return F.when(token < "\x02", code(name, unit(name).bitwiseOR(F.lit(IS_NAME).cast("bigint")))).when(token < ":", code(token, IS_NUMBER)).otherwise(code(token, unit(token)))
+def _bits(code: Column, kind: int) -> Column:
+    return code.bitwiseAND(F.lit(kind).cast("bigint"))
+
+
+def _plain(code: Column) -> Column:
+    """The template token in which a name is a word: a placeholder, or the word's hash with the other bits 0."""
+    number, unit = F.lit(IS_NUMBER).cast("bigint"), F.lit(IS_UNIT).cast("bigint")
+    return F.when(_bits(code, IS_NUMBER | IS_UNIT) == 0, _bits(code, -8)).when(_bits(code, IS_NUMBER) == 0, unit).otherwise(number)
 
 
 def _hashed(texts: DataFrame, keys: tuple[str, ...], tokens: bool) -> DataFrame:
-    """(keys, codes): the code of each token, and the token itself in ``found`` if asked for."""
+    """(keys, codes, kinds, plain, values): of each token the code, the template tokens and the hash; the token itself in ``found`` if asked for."""
     found = texts.select(*keys, _tokens(F.col("text")).alias("found"))
     # A row-making step keeps the optimizer from moving the expression of the tokens into each of its uses.
     found = found.select(*keys, F.explode(F.array("found")).alias("found")).where(F.size("found") > 0)
     kept = [F.transform("found", lambda x: F.ltrim(x, F.lit("\x01"))).alias("found")] if tokens else []
-    return found.select(*keys, F.transform("found", _code).alias("codes"), *kept)
+    coded = found.select(*keys, F.transform("found", lambda x, i: _code(x, F.get("found", i - 1))).alias("codes"), *kept)
+    name = F.lit(IS_NAME).cast("bigint")
+    return coded.select(
+        "*",
+        F.transform("codes", lambda c: F.when(_bits(c, IS_NAME) != 0, name).otherwise(_plain(c))).alias("kinds"),
+        F.transform("codes", _plain).alias("plain"),
+        F.transform("codes", lambda c: _bits(c, -8)).alias("values"),
+    )
 
 
 def _windows(coded: DataFrame, keys: tuple[str, ...], size: int, verbatim: bool, tokens: bool) -> DataFrame:
@@ -67,28 +86,25 @@ def _windows(coded: DataFrame, keys: tuple[str, ...], size: int, verbatim: bool,
 
     A window that holds a name has a second row, not ``typed``, in which names are words. A window without
     a word, or each one if ``verbatim``, goes by its values in place of its placeholders.
+
+    The expressions of a window are short and have no lambda: in one large method they would not be compiled, and
+    beside a lambda each row would carry copies of the whole arrays.
     """
     at = F.when(F.size("codes") >= size, F.sequence(F.lit(0), F.size("codes") - size))
-    rows = coded.select(*keys, "codes", *(["found"] if tokens else []), F.explode(at).alias("pos"))
-    codes = [F.get("codes", F.col("pos") + k) for k in range(-1, size)]
-    is_ = lambda c, kind: F.coalesce(c.bitwiseAND(F.lit(kind).cast("bigint")) != 0, F.lit(False))
-    value = [c.bitwiseAND(F.lit(-8).cast("bigint")) for c in codes[1:]]
-    long = lambda n: F.lit(n).cast("bigint")
-    plain = [
-        F.when(is_(c, IS_NUMBER), long(IS_NUMBER)).when(is_(c, IS_UNIT) & is_(before, IS_NUMBER), long(IS_UNIT)).otherwise(v)
-        for before, c, v in zip(codes, codes[1:], value)
-    ]
-    kinds = [F.when(is_(c, IS_NAME), long(IS_NAME)).otherwise(p) for c, p in zip(codes[1:], plain)]
-    words = lambda of: reduce(or_, [k.bitwiseAND(long(7)) == 0 for k in of])
-    by_value = F.xxhash64(long(-size), *value)
-    has_name = reduce(or_, [is_(c, IS_NAME) for c in codes[1:]])
+    rows = coded.select(*keys, "kinds", "plain", "values", *(["found"] if tokens else []), F.explode(at).alias("pos"))
+    part = lambda column: F.slice(column, F.col("pos") + 1, F.lit(size))
+    word = lambda column: reduce(or_, [_bits(F.get(column, F.col("pos") + k), 7) == 0 for k in range(size)])
+    by_value = F.xxhash64(F.lit(-size).cast("bigint"), part("values"))
+    hashes = lambda column: F.when(word(column), F.xxhash64(part(column))).otherwise(by_value)
     if verbatim:
         one, two = by_value, F.lit(None).cast("bigint")
     else:
-        one = F.when(words(kinds), F.xxhash64(*kinds)).otherwise(by_value)
-        two = F.when(has_name, F.when(words(plain), F.xxhash64(*plain)).otherwise(by_value))
-    more = [F.array(*kinds).alias("k1"), F.array(*plain).alias("k2"), F.slice("found", F.col("pos") + 1, F.lit(size)).alias("found")] if tokens else []
-    rows = rows.select(*keys, "pos", (~words(kinds)).alias("wordless"), F.posexplode(F.array(one, two)).alias("form", "window"), *more).where("window IS NOT NULL")
+        one, two = hashes("kinds"), hashes("plain")
+    more = [part("kinds").alias("k1"), part("plain").alias("k2"), part("found").alias("found")] if tokens else []
+    rows = rows.select(*keys, "pos", (~word("kinds")).alias("wordless"), one.alias("one"), two.alias("two"), *more)
+    second = F.when(F.col("two") != F.col("one"), F.col("two"))
+    both = F.when(second.isNull(), F.array("one")).otherwise(F.array("one", "two"))
+    rows = rows.select(*keys, "pos", "wordless", F.posexplode(both).alias("form", "window"), *[c for c in ("k1", "k2", "found") if tokens])
     typed = F.col("form") == 0
     kind = [F.when(typed, F.col("k1")).otherwise(F.col("k2")).alias("kinds"), "found"] if tokens else []
     return rows.select(*keys, "pos", "window", typed.alias("typed"), "wordless", *kind)

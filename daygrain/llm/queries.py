@@ -109,7 +109,6 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 _UNITS = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
-_UNSPACED = "".join(f"\\p{{{script}}}" for script in decontaminate.UNSPACED)
 _MARKS = "('.', '!', '?', chr(10))"
 OP7_SQL = rf"""
 WITH texts AS (
@@ -117,7 +116,7 @@ WITH texts AS (
     UNION ALL SELECT DISTINCT item_id, false, text, text FROM benchmark WHERE item_id IS NOT NULL
 ), found AS (
     SELECT id, is_doc, variant, regexp_extract_all(
-        regexp_replace(replace(text, chr(1), ' '), '([{_UNSPACED}])', ' \1 ', 'g'), '[.!?\n]|{decontaminate.NUMBER}|[\p{{L}}\p{{M}}]+') AS t
+        regexp_replace(replace(text, chr(1), ' '), '([{decontaminate.UNSPACED}])', ' \1 ', 'g'), '[.!?\n]|{decontaminate.NUMBER}|[\p{{L}}\p{{M}}]+') AS t
     FROM texts
 ), named AS (
     SELECT id, is_doc, variant, list_filter(list_transform(t, lambda x, i: CASE WHEN x NOT IN {_MARKS} THEN
