@@ -269,27 +269,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, nearly
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
 
     Every round deals the open bins (at first: the pieces) to groups of about ``group`` and packs each
-    by best fit. Nearly full bins are finished; the others are the items of the next round, in fewer
-    groups, until one group is left or a round joins less than one in a hundred. A bin has at most
-    ``capacity`` members, a task at most a few groups. An empty input gives an empty result.
+    by best fit. Nearly full bins are finished; the others are the items of the next round. Best fit
+    leaves one bin of a group at most that is not more than half full, so these become fewer by the size of a
+    group in each round; they are dealt among themselves, where any two fit together, and over few groups.
+    The rounds end when one of them is left at most: only that one could still go into another bin.
+    A bin has at most ``capacity`` members, a task about two groups at most: rows that are equal in
+    everything are dealt apart by a stored row number. An empty input gives an empty result.
     """
-    seed = F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32")
-    items = pieces.select(seed.alias("seed"), F.col("length").alias("filled"), F.array(F.struct("doc_id", "piece", "start", "length", "ids_crc32").cast(PIECE)).alias("members"))
+    row = F.struct("doc_id", "piece", "start", "length", "ids_crc32").cast(PIECE)
+    items = pieces.select(F.monotonically_increasing_id().alias("seed"), F.col("length").alias("filled"), F.array(row).alias("members"))
     kinds = f"seed bigint, filled bigint, members array<{PIECE}>"
     done = [items.where(F.col("filled") > capacity - nearly)]
     left = cut(items.where(F.col("filled") <= capacity - nearly))
-    count = left.count()
-    while count:
-        groups = -(-count // group)
-        key = F.pmod(F.xxhash64("seed", F.lit(len(done))), F.lit(groups))
+    small = F.col("filled") * 2 <= capacity
+    while True:
+        count, n_small = left.agg(F.count("*"), F.count_if(small)).first()
+        if n_small <= 1:
+            done.append(left)
+            break
+        groups = F.when(small, -(-n_small // group)).otherwise(-(-count // group))
+        key = F.pmod(F.xxhash64("seed", F.lit(len(done))), groups)
         packed = cut(left.groupBy(key.alias("part")).applyInPandas(_packed(capacity), kinds))
         done.append(packed.where(F.col("filled") > capacity - nearly))
-        rest = packed.where(F.col("filled") <= capacity - nearly)
-        now = rest.count()
-        if groups == 1 or now > 0.99 * count:
-            done.append(rest)
-            break
-        left, count = rest, now
+        left = packed.where(F.col("filled") <= capacity - nearly)
     bins = done[0]
     for more in done[1:]:
         bins = bins.unionByName(more)
