@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from daygrain.llm import subword
 
 UNKNOWN = "und"
-#: Whole texts of each language to learn from.
-PER_LANGUAGE = 500
+#: Whole texts of each language to learn from; half as many calibrate.
+PER_LANGUAGE = 800
 HELD_OUT = 2
 
 
@@ -28,7 +28,8 @@ def languages(docs: DataFrame, model: subword.Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected, text_hash) of every row of ``docs`` (doc_id, text; more columns are ignored).
 
     A text that is null or has no letter is ``und`` with score 0, and rejected. So is, with its own
-    prediction kept, a text whose score lies below the calibrated threshold. Held out is false for
+    prediction kept, a text whose score or whose share of familiar subwords lies below the calibrated
+    thresholds (``subword.train``). Held out is false for
     rows without doc_id. Every row gives a row; text_hash tells rows apart that have no id.
     """
     key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), F.xxhash64("text").alias("text_hash"))
@@ -39,6 +40,6 @@ def languages(docs: DataFrame, model: subword.Model) -> DataFrame:
         F.coalesce(fold("key.doc_id") == HELD_OUT, F.lit(False)).alias("held_out"),
         F.when(known, F.col("label")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(known, F.col("score")).otherwise(0.0).alias("score"),
-        (~known | (F.col("score") < model.reject_below)).alias("rejected"),
+        (~known | (F.col("score") < model.reject_below) | (F.col("familiar") < model.least_familiar)).alias("rejected"),
         "key.text_hash",
     )

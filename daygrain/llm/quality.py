@@ -15,9 +15,9 @@ from daygrain.llm import subword
 from daygrain.llm.language import HELD_OUT, fold
 from daygrain.session import cut
 
-#: Whole texts of each class to learn from.
+#: Whole texts of each class to learn from; half as many calibrate.
 PER_CLASS = 1000
-#: How many standard sizes of the classifier's log odds count in full; beyond, it is one voice among the evidence.
+#: The classifier's log odds count up to this; beyond, it is one voice among the evidence.
 MOST_LOG_ODDS = 8.0
 
 
@@ -62,6 +62,7 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, per_
     ``labels``: (doc_id, quality 0 or 1). Learning, of texts and of sites, uses labelled documents
     outside the held-out quarter only; a document with contradicting labels counts with the lower.
     Columns: doc_id, held_out, text_quality, host_quality, path_quality, quality, kept.
+    The text's log odds count up to MOST_LOG_ODDS either way, so that no text outweighs every site.
     Null and empty texts have no evidence of their own; sites without labels, and null hosts or
     paths (which are the site ''), have their parent's share. Without labels every quality is 0.5.
     Other columns are ignored.
@@ -70,7 +71,7 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, per_
     good = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("good"))
     known = rows.where(fold() != HELD_OUT).select("doc_id", "host", "path").join(good, "doc_id")
     hosts, paths, overall = posteriors(known)
-    taught = subword.sample(known.withColumn("label", F.col("good").cast("string")), per_class)
+    taught = subword.sample(known.withColumn("label", F.col("good").cast("string")), per_class * subword.FOLDS / (subword.FOLDS - subword.CALIBRATING))
     taught = cut(taught.select("doc_id", "label").distinct())
     model = subword.train(rows.select("doc_id", "text").join(taught, "doc_id"), per_class)
     key = F.struct("doc_id", "host", "path", (F.length(F.coalesce("text", F.lit(""))) > 0).alias("filled"))

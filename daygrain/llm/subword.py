@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from daygrain.llm.spans import IS_SPACE, Chunk, chunks
 from daygrain.session import ship
 
 BITS = 16
+#: Folds of the sample, and how many of them calibrate.
+FOLDS, CALIBRATING = 3, 1
 SIZES = (2, 3, 4)
 #: Odd multipliers of the hash of each subword size.
 MULTIPLIERS = {2: 2654435761, 3: 2246822519, 4: 3266489917}
@@ -44,31 +48,60 @@ def subwords(chunk: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at, ((value[at] * np.uint32(MULTIPLIERS[size])) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
+def _scrambled(text: str) -> str:
+    """The letters and marks of a text in random order, its white space where it was: junk with the same characters."""
+    found = np.array(list(text))
+    places = np.flatnonzero(~np.char.isspace(found)) if len(found) else np.zeros(0, int)
+    found[places] = found[np.random.default_rng(zlib.crc32(text.encode(errors="replace"))).permutation(places)]
+    return "".join(found)
+
+
+def _bags(column: pa.Array) -> tuple[list[bytes], list[bytes]]:
+    """For each text its buckets and their shares."""
+    buckets, shares = [], []
+    for chunk in chunks(column):
+        found = list(subwords(chunk))
+        for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:]):
+            own = [x[np.searchsorted(at, a) : np.searchsorted(at, b)] for at, x in found]
+            bucket, count = np.unique(np.concatenate(own) if own else np.zeros(0, np.int64), return_counts=True)
+            buckets.append(bucket.astype(np.int32).tobytes())
+            shares.append((count / max(1, count.sum())).astype(np.float32).tobytes())
+    return buckets, shares
+
+
+FEATURES = "label string, fold int, junk boolean, buckets binary, shares binary"
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bag of each text; of one that calibrates, a second one of its characters in random order."""
     for batch in batches:
-        buckets, shares = [], []
-        for chunk in chunks(batch.column("text")):
-            found = list(subwords(chunk))
-            for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:]):
-                own = [x[np.searchsorted(at, a) : np.searchsorted(at, b)] for at, x in found]
-                bucket, count = np.unique(np.concatenate(own) if own else np.zeros(0, np.int64), return_counts=True)
-                buckets.append(bucket.astype(np.int32).tobytes())
-                shares.append((count / max(1, count.sum())).astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("fold"), pa.array(buckets, pa.binary()), pa.array(shares, pa.binary())], ["label", "fold", "buckets", "shares"])
+        for junk in (False, True):
+            part = batch.filter(pc.less(batch.column("fold"), CALIBRATING)) if junk else batch
+            texts = part.column("text")
+            bags = _bags(pa.array([_scrambled(t) for t in texts.to_pylist()], pa.string()) if junk else texts)
+            yield pa.RecordBatch.from_arrays([part.column("label"), part.column("fold"), pa.array([junk] * len(part), pa.bool_()), *(pa.array(x, pa.binary()) for x in bags)], ["label", "fold", "junk", "buckets", "shares"])
 
 
 @dataclass
 class Model:
-    """``table`` holds, for each bucket, what its embedding adds to the score of each label."""
+    """``table`` holds, for each bucket, what its embedding adds to the score of each label; ``seen`` the buckets of the training texts.
+
+    A text is rejected if its score is below ``reject_below``, or the share of its subwords that were
+    seen below ``least_familiar``. ``false_acceptance`` is the share of the scrambled calibration
+    texts that pass both.
+    """
 
     labels: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     reject_below: float
+    seen: np.ndarray
+    least_familiar: float = 0.0
+    false_acceptance: float = 0.0
 
 
-def sample(labelled: DataFrame, per_label: int) -> DataFrame:
+def sample(labelled: DataFrame, per_label: float) -> DataFrame:
     """About ``per_label`` rows of each label of (doc_id, text, label), chosen by a hash of doc_id.
 
     The labels are the outputs of the model, so their counts are few.
@@ -78,31 +111,36 @@ def sample(labelled: DataFrame, per_label: int) -> DataFrame:
     for label, n in counts.items():
         share = F.when(F.col("label") == label, min(1.0, per_label / n)).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.where(place < share).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)).cast("int"))
+    return labelled.where(place < share).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("int"))
 
 
-def train(labelled: DataFrame, per_label: int, dims: int = 16, epochs: int = 10, rate: float = 0.5, reject: float = 0.001) -> Model:
-    """Fit on a bounded sample of (doc_id, text, label): ``per_label`` whole texts of each label.
+def train(labelled: DataFrame, per_label: int, dims: int = 16, epochs: int = 10, rate: float = 0.5, reject: float = 0.001, accept: float = 0.01) -> Model:
+    """Fit on a bounded sample of (doc_id, text, label): ``per_label`` whole texts of each label to learn from, half as many to calibrate.
 
-    A fifth of the sample is held back to calibrate: the temperature of the softmax, and the score
-    below which a prediction is rejected, which ``reject`` of the known texts fall under.
+    The calibrating texts settle the temperature of the softmax and what is rejected. They are
+    scrambled too, which gives junk of the same characters. A text is rejected for its score if
+    ``reject`` of the calibrating texts lie lower; and for its subwords if fewer of them were seen in
+    training than in all but ``accept`` of the junk, but no more than ``reject`` of the calibrating texts either.
     Without labelled rows the model has no label and rejects everything.
     """
     ship(labelled.sparkSession)
-    rows = sample(labelled.where("label IS NOT NULL AND text IS NOT NULL"), per_label).select("text", "label", "fold")
-    rows = rows.mapInArrow(_features, "label string, fold int, buckets binary, shares binary").toPandas()
+    some = labelled.where("label IS NOT NULL AND text IS NOT NULL")
+    rows = sample(some, per_label * FOLDS / (FOLDS - CALIBRATING)).select("text", "label", "fold")
+    rows = rows.mapInArrow(_features, FEATURES).toPandas()
+    # A fixed order, whatever the partitions came back in.
+    rows = rows.sort_values(["label", "junk", "fold", "buckets", "shares"], ignore_index=True)
     labels = sorted(set(rows["label"]))
     if not labels:
-        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 1.0)
+        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 1.0, np.zeros(1 << BITS))
     index = {x: k for k, x in enumerate(labels)}
     data = [(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32), index[y]) for b, s, y in zip(rows["buckets"], rows["shares"], rows["label"])]
-    # A fixed order, whatever the partitions came back in.
-    data = [data[k] for k in sorted(range(len(data)), key=lambda k: (rows["label"][k], rows["buckets"][k], rows["shares"][k]))]
-    folds = np.array([int(b.sum()) % 5 for b, _, _ in data]) if len(data) > 20 else np.ones(len(data), int)
+    real, calibrating = ~rows["junk"].to_numpy(bool), rows["fold"].to_numpy() < CALIBRATING
+    if (real & ~calibrating).sum() < 20:  # too few to hold any back
+        calibrating[:] = False
     random = np.random.default_rng(5)
     embeddings = random.normal(0, 1, (1 << BITS, dims)).astype(np.float32)
     weights, bias = np.zeros((dims, len(labels)), np.float32), np.zeros(len(labels), np.float32)
-    own = np.flatnonzero(folds != 0)
+    own = np.flatnonzero(real & ~calibrating)
     steps, step = epochs * len(own), 0
     for _ in range(epochs):
         for k in random.permutation(own):
@@ -119,15 +157,22 @@ def train(labelled: DataFrame, per_label: int, dims: int = 16, epochs: int = 10,
                 # Shares are about 1 / length: times the length, a bucket moves at the pace of the weights, less a margin for stability.
                 embeddings[buckets] -= (0.2 * now * shares * len(buckets))[:, None] * back
     table = (embeddings @ weights).astype(np.float64)
-    kept = np.flatnonzero(folds == 0)
+    seen = np.zeros(1 << BITS)
+    for k in own:
+        seen[data[k][0]] = 1.0
+    kept = np.flatnonzero(real & calibrating)
     kept = kept if len(kept) else own
-    raw = np.array([data[k][1] @ table[data[k][0]] + bias for k in kept])
-    truth = np.array([data[k][2] for k in kept])
+    junk = np.flatnonzero(~real)
+    raw = {k: data[k][1] @ table[data[k][0]] + bias for k in (*kept, *junk)}
     grid = np.geomspace(0.5, 20, 40)
-    losses = [-np.log(np.maximum([_softmax(r / t)[y] for r, y in zip(raw, truth)], 1e-9)).mean() for t in grid]
+    losses = [-np.log(np.maximum([_softmax(raw[k] / t)[data[k][2]] for k in kept], 1e-9)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(losses))])
-    right = np.array([_softmax(r / temperature).max() for r in raw])
-    return Model(labels, table, bias.astype(np.float64), temperature, float(min(np.quantile(right, reject), 0.5)))
+    sure, junk_sure = (np.array([_softmax(raw[k] / temperature).max() for k in part]) for part in (kept, junk))
+    familiar, junk_familiar = (np.array([data[k][1] @ seen[data[k][0]] for k in part]) for part in (kept, junk))
+    reject_below = float(np.quantile(sure, reject, method="lower"))
+    least = min(float(np.quantile(familiar, reject, method="lower")), float(np.quantile(junk_familiar, 1 - accept)) if len(junk) else 1.0)
+    passed = float(((junk_sure >= reject_below) & (junk_familiar >= least)).mean()) if len(junk) else 0.0
+    return Model(labels, table, bias.astype(np.float64), temperature, reject_below, seen, least, passed)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -136,11 +181,12 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _scored(model: Model):
-    table = [np.ascontiguousarray(model.table[:, k]) for k in range(len(model.labels))]
+    # Beside the labels' columns, the share of the subwords that were seen.
+    table = [*(np.ascontiguousarray(model.table[:, k]) for k in range(len(model.labels))), model.seen]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label, score, shares = [], [], []
+            label, score, shares, familiar = [], [], [], []
             for chunk in chunks(batch.column("text")):
                 total, count = np.zeros((chunk.rows, len(table))), np.zeros(chunk.rows)
                 for at, buckets in subwords(chunk):
@@ -150,21 +196,23 @@ def _scored(model: Model):
                     for k, own in enumerate(table):
                         if len(some):
                             total[some, k] += np.add.reduceat(own[buckets], first[:-1][some])
-                raw = (total / np.maximum(count, 1)[:, None] + model.bias) / model.temperature
+                total /= np.maximum(count, 1)[:, None]
+                familiar += total[:, -1].tolist()
+                raw = (total[:, :-1] + model.bias) / model.temperature
                 raw = np.exp(raw - raw.max(axis=1, keepdims=True))
                 share = raw / raw.sum(axis=1, keepdims=True)
                 label += [model.labels[k] for k in share.argmax(axis=1)]
                 score += share.max(axis=1).tolist()
                 shares += share.tolist()
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.list_(pa.float64()))], ["key", "label", "score", "shares"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.list_(pa.float64())), pa.array(familiar, pa.float64())], ["key", "label", "score", "shares", "familiar"])
 
     return run
 
 
 def score(texts: DataFrame, model: Model, key: Column, key_type: str) -> DataFrame:
-    """(key, label, score, shares) of each whole text: the best label, its probability, and those of all labels."""
+    """(key, label, score, shares, familiar) of each whole text: the best label, its probability, those of all labels, and the share of its subwords that training saw."""
     ship(texts.sparkSession)
     rows = texts.select(key.alias("key"), "text")
     if not model.labels:
-        return rows.select("key", F.lit(None).cast("string").alias("label"), F.lit(0.0).alias("score"), F.lit(None).cast("array<double>").alias("shares"))
-    return rows.mapInArrow(_scored(model), f"key {key_type}, label string, score double, shares array<double>")
+        return rows.select("key", F.lit(None).cast("string").alias("label"), F.lit(0.0).alias("score"), F.lit(None).cast("array<double>").alias("shares"), F.lit(0.0).alias("familiar"))
+    return rows.mapInArrow(_scored(model), f"key {key_type}, label string, score double, shares array<double>, familiar double")
