@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,8 +17,10 @@ from daygrain.session import cut, ship
 COSINE = 0.9
 #: The index is fitted on no more vectors than these, taken by a hash of their id; every vector is indexed.
 SAMPLE = 32768
-#: A list holds about so many vectors, up to MOST_LISTS lists; then lists grow, and are split into blocks.
-LIST_SIZE, MOST_LISTS = 256, 2048
+#: A list holds about so many vectors. Beyond COARSE lists each is divided by the same FINE residual centres at most, so
+#: that 4 million lists are fitted on the one sample; a list that is larger all the same is split into blocks.
+LIST_SIZE, COARSE, FINE = 256, 2048, 2048
+#: A vector probes the square root of the number of lists, and no less than these.
 PROBES = 12
 SUBSPACES, CODES = 8, 256
 #: Vectors of a list, and queries, that meet in one task at a time.
@@ -26,12 +29,43 @@ BLOCK, QUERIES = 2048, 4096
 
 @dataclass
 class Index:
-    """``centres`` of the lists, and for each subspace of the residuals a book of code vectors."""
+    """List a * len(``fine``) + b has the centre ``coarse[a] + fine[b]``; for each subspace of the residuals there is a book of code vectors."""
 
-    centres: np.ndarray
+    coarse: np.ndarray
+    fine: np.ndarray
     parts: list[np.ndarray]
     books: list[np.ndarray]
 
+    @property
+    def lists(self) -> int:
+        return len(self.coarse) * len(self.fine)
+
+    @property
+    def probes(self) -> int:
+        return min(self.lists, max(PROBES, math.isqrt(self.lists - 1) + 1))
+
+    def centre(self, cell):
+        return self.coarse[cell // len(self.fine)] + self.fine[cell % len(self.fine)]
+
+    def nearest(self, points: np.ndarray) -> np.ndarray:
+        """The ``probes`` nearest lists of each point among those of its nearest coarse centres, the nearest first."""
+        count, width = self.probes, len(self.fine)
+        wide = min(len(self.coarse), count if width == 1 else max(-(-count // width), 4 * (math.isqrt(count) + 1)))
+        own, fine, inner = (self.coarse**2).sum(axis=1), (self.fine**2).sum(axis=1), 2 * self.coarse @ self.fine.T
+        step = max(1, 2_000_000 // max(len(self.coarse), wide * width))
+        return np.concatenate([self._nearest(points[a : a + step], own, fine, inner, count, wide) for a in range(0, len(points), step)])
+
+    def _nearest(self, points: np.ndarray, own: np.ndarray, fine: np.ndarray, inner: np.ndarray, count: int, wide: int) -> np.ndarray:
+        # |x - a - b|^2 = |x - a|^2 + |b|^2 - 2 x.b + 2 a.b, less |x|^2
+        far = own - 2 * points @ self.coarse.T
+        near = np.argpartition(far, wide - 1, axis=1)[:, :wide]
+        total = np.take_along_axis(far, near, 1)[:, :, None] + (fine - 2 * points @ self.fine.T)[:, None, :] + inner[near]
+        cells = (near[:, :, None] * len(fine) + np.arange(len(fine))).reshape(len(points), -1)
+        total = total.reshape(len(points), -1)
+        best = np.argpartition(total, count - 1, axis=1)[:, :count]
+        order = np.argsort(np.take_along_axis(total, best, 1), axis=1, kind="stable")
+        return np.take_along_axis(cells, np.take_along_axis(best, order, 1), 1)
+
 
 def _means(points: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     """k-means by Lloyd's rounds, from points chosen at random; an empty centre stays where it was."""
@@ -53,11 +87,16 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def fit(points: np.ndarray, lists: int) -> Index:
-    """An index of unit vectors."""
-    centres = _means(points, lists, 8, 1)
-    rest = points - centres[_nearest(points, centres)]
-    parts = [p for p in np.array_split(np.arange(points.shape[1]), SUBSPACES) if len(p)]
-    return Index(centres, parts, [_means(rest[:, p], CODES, 6, 2 + k) for k, p in enumerate(parts)])
+    """An index of unit vectors with ``lists`` lists, or some more."""
+    coarse = _means(points, min(lists, COARSE), 8, 1)
+    fine = np.zeros((1, points.shape[1]))
+    if lists > len(coarse):
+        rest = points - coarse[_nearest(points, coarse)]
+        fine = _means(rest, min(FINE, -(-lists // len(coarse))), 6, 20)
+    index = Index(coarse, fine, [p for p in np.array_split(np.arange(points.shape[1]), SUBSPACES) if len(p)], [])
+    rest = points - index.centre(index.nearest(points)[:, 0])
+    index.books += [_means(rest[:, p], CODES, 6, 2 + k) for k, p in enumerate(index.parts)]
+    return index
 
 
 def _units(column: pd.Series) -> np.ndarray:
@@ -65,25 +104,21 @@ def _units(column: pd.Series) -> np.ndarray:
     return points / np.sqrt((points**2).sum(axis=1))[:, None]
 
 
-ENTRY = "rep bigint, copies bigint, embedding array<float>, cell int, probes array<int>, codes binary, error double"
+ENTRY = "rep bigint, copies bigint, embedding array<{}>, cell int, probes array<int>, codes binary, error double"
 
 
 def _encoded(index: Index):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        half = (index.centres**2).sum(axis=1) / 2
-        for batch in batches:
-            if not len(batch):
-                continue
-            points = _units(batch["embedding"])
-            far = half - points @ index.centres.T
-            count = min(PROBES, len(half))
-            probes = np.argpartition(far, count - 1, axis=1)[:, :count].astype(np.int32)
-            cell = far.argmin(axis=1).astype(np.int32)
-            rest = points - index.centres[cell]
-            codes = np.stack([_nearest(rest[:, p], book) for p, book in zip(index.parts, index.books)], 1).astype(np.uint8)
-            guess = np.concatenate([book[codes[:, k]] for k, book in enumerate(index.books)], axis=1)
-            error = np.sqrt(((rest - guess) ** 2).sum(axis=1))
-            yield batch.assign(cell=cell, probes=list(probes), codes=[c.tobytes() for c in codes], error=error)
+        for whole in batches:
+            for at in range(0, len(whole), 512):
+                batch = whole.iloc[at : at + 512]
+                points = _units(batch["embedding"])
+                probes = index.nearest(points).astype(np.int32)
+                rest = points - index.centre(probes[:, 0])
+                codes = np.stack([_nearest(rest[:, p], book) for p, book in zip(index.parts, index.books)], 1).astype(np.uint8)
+                guess = np.concatenate([book[codes[:, k]] for k, book in enumerate(index.books)], axis=1)
+                error = np.sqrt(((rest - guess) ** 2).sum(axis=1))
+                yield batch.assign(cell=probes[:, 0], probes=list(probes), codes=[c.tobytes() for c in codes], error=error)
 
     return run
 
@@ -107,7 +142,7 @@ def _compared(index: Index):
         pairs = [np.zeros((2, 0), np.int64)]
         for at in range(0, len(queries), 256):
             part = queries[at : at + 256]
-            rest = part - index.centres[cell]
+            rest = part - index.centre(cell)
             total = np.zeros((len(part), len(stored)), np.float32)
             for k, (p, book) in enumerate(zip(index.parts, index.books)):
                 tables = (rest[:, p] ** 2).sum(axis=1)[:, None] + (book**2).sum(axis=1) - 2 * rest[:, p] @ book.T
@@ -159,13 +194,16 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     Two vectors link when their cosine in double precision is at least 0.9. Null, empty and zero
     vectors and those with null or non-finite components link with nothing, nor do vectors of
     different lengths. Equal vectors are one entry of the index, with their number. A pair is found
-    if one of the two has the other's list among its PROBES nearest; within a list none is missed,
-    as a vector's distance from its code bounds how far the table-lookup distance can be off.
+    if one of the two has the other's list among those it probes; within a list none is missed,
+    as a vector's distance from its code bounds how far the table-lookup distance can be off. Lists grow in number
+    with the vectors, and probes with the lists.
     Rows that share a vec_id count as different vectors, and share the links of both.
     """
     spark = vectors.sparkSession
     ship(spark)
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    # Doubles stay doubles.
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda x: x != 0))
     classes = usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
@@ -189,8 +227,9 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
 def _links(classes: DataFrame, n: int) -> DataFrame:
     """Counts and links (kind, a, b) among distinct vectors (embedding, rep, copies) of one length."""
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("embedding").toPandas()
-    index = fit(_units(sample["embedding"]), max(1, min(MOST_LISTS, n // LIST_SIZE, len(sample))))
-    entries = cut(classes.select("rep", "copies", "embedding").mapInPandas(_encoded(index), ENTRY))
+    index = fit(_units(sample["embedding"]), max(1, n // LIST_SIZE))
+    kind = classes.schema["embedding"].dataType.elementType.simpleString()
+    entries = cut(classes.select("rep", "copies", "embedding").mapInPandas(_encoded(index), ENTRY.format(kind)))
     held = entries.groupBy("cell").agg(F.count("*").alias("held"))
     asked = entries.select(F.explode("probes").alias("cell")).groupBy("cell").agg(F.count("*").alias("asked"))
     blocks = cut(
