@@ -9,6 +9,7 @@ like adverts, side bars or comments, unless they hold most of the page's text or
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -59,6 +60,9 @@ class Page:
         self.articles = 0
         self.pieces: list[tuple[int, str, bool]] = []
         self.open = [0]
+        #: Where in ``open`` the elements of each name are; whether an element lies in a heading; the block it lies in.
+        self.where: dict[str, list[int]] = {self.tags[0]: [0]}
+        self.in_heading, self.block_of = [False], [0]
         self.links = 0
         self._read(html)
         while self.open:
@@ -105,7 +109,7 @@ class Page:
             while pieces and pieces[0][1].isspace():
                 pieces.pop(0)
             text = " ".join(unescape("".join(p for _, p, _ in pieces)).split())
-            if text and (not self.heading_only[pieces[0][0]] or self._in_heading(pieces[0][0])):
+            if text and (not self.heading_only[pieces[0][0]] or self.in_heading[pieces[0][0]]):
                 yield pieces[0][0], text, min(len(text), sum(len(p) for _, p, in_link in pieces if in_link))
 
     def _text(self, text: str) -> None:
@@ -115,6 +119,7 @@ class Page:
 
     def _close(self) -> None:
         at = self.open.pop()
+        self.where[self.tags[at]].pop()
         self.ends[at] = len(self.tags)
         if self.tags[at] == "a":
             self.links -= 1
@@ -123,15 +128,24 @@ class Page:
             self._flush()
 
     def _close_to(self, names: set[str], scopes: set[str]) -> None:
-        """Close the nearest open element of these names, with all inside it, unless a scope lies between."""
-        for k in range(len(self.open) - 1, 0, -1):
-            tag = self.tags[self.open[k]]
-            if tag in names:
-                while len(self.open) > k:
-                    self._close()
-                return
-            if tag in scopes:
+        """Close the nearest open element of these names, with all inside it, unless a scope lies between.
+
+        The places of the open elements are kept by their names, so that a tag without partner costs nothing.
+        """
+        nearest = 0
+        for name in names:
+            places = self.where.get(name)
+            if places and places[-1] > nearest:
+                nearest = places[-1]
+        if not nearest:
+            return
+        if len(self.open) - nearest < 16:
+            if scopes and any(self.tags[at] in scopes for at in self.open[nearest + 1 :]):
                 return
+        elif any(places[-1] > nearest for name in scopes if (places := self.where.get(name))):
+            return
+        while len(self.open) > nearest:
+            self._close()
 
     def _open(self, tag: str, rest: str) -> None:
         if tag in BLOCKS:
@@ -156,7 +170,10 @@ class Page:
         self.dropped.append(dropped)
         self.heading_only.append(inside)
         self.ends.append(len(self.tags))
+        self.in_heading.append(tag in HEADINGS or (inside and self.in_heading[parent]))
+        self.block_of.append(len(self.tags) - 1 if tag in BLOCKS else self.block_of[parent])
         if tag not in VOID:
+            self.where.setdefault(tag, []).append(len(self.open))
             self.open.append(len(self.tags) - 1)
             self.links += tag == "a"
             self.articles += tag in ("article", "main")
@@ -228,8 +245,7 @@ class Page:
         points, chars, linked = [0.0] * n, [0] * n, [0] * n
         kept = list(self._kept())
         for element, text, in_links in kept:
-            while self.tags[element] not in BLOCKS and self.parents[element] >= 0:
-                element = self.parents[element]
+            element = self.block_of[element]
             chars[element] += len(text)
             linked[element] += in_links
             worth = (1 + text.count(",") + min(3.0, len(text) / 100)) * (1 - in_links / len(text))
@@ -264,14 +280,11 @@ class Page:
                 and not self.dropped[k]
                 and (final[k] >= enough or (self.tags[k] == "p" and chars[k] > 80 and linked[k] < chars[k] / 4) or (self.tags[k] in HEADINGS and k < best))
             ]
-        return "\n".join(t for k, t, _ in kept if any(a <= k < b for a, b in ranges))
-
-    def _in_heading(self, element: int) -> bool:
-        while element >= 0:
-            if self.tags[element] in HEADINGS:
-                return True
-            element = self.parents[element] if self.heading_only[element] else -1
-        return False
+        # Ranges of siblings do not overlap.
+        ranges.sort()
+        starts = [a for a, _ in ranges]
+        inside = lambda k: (at := bisect_right(starts, k)) and k < ranges[at - 1][1]
+        return "\n".join(t for k, t, _ in kept if inside(k))
 
 
 def main_text(html: str | None) -> str:
@@ -290,7 +303,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of ``pages`` (page_id, url, html; more columns are ignored).
 
-    Null and empty html, and pages without article text, give an empty text. Every row gives a row,
+    Null and empty html, and pages without article text, give an empty text. A headline in a header outside
+    the article goes with the header. A task holds some ten times its longest page, and its time is linear in
+    the page, however deep or broken. Every row gives a row,
     repeated ones too; a tag that never ends is text, an element that never closes ends with the page.
     """
     ship(pages.sparkSession)
