@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.llm.tables import unused
 from daygrain.session import cut
 
 # The white space stripped from a line, and the letters that are lower-cased.
@@ -109,23 +110,24 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         runs.absorb(batch.select("doc_id", *KEY))
     repeated = cut(runs.repeated(min_docs))
     places = lines.join(repeated, KEY).where("doc_id < holder").groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
-    gone = cut(places).toDF("_gone_doc", "_gone_row", "_gone")
-    joined = docs.join(gone, (docs["doc_id"] == F.col("_gone_doc")) & (F.xxhash64(docs["text"]) == F.col("_gone_row")), "left")
+    doc, row, places_of, all_lines = unused(docs.columns, "_doc", "_row", "_gone", "_lines")
+    gone = cut(places).toDF(doc, row, places_of)
+    joined = docs.join(gone, (docs["doc_id"] == F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(row)), "left")
     # Between one dropped line and the next, whole slices stay: linear in the number of lines.
-    split = joined.withColumn("_lines", split_lines(docs["text"]))
-    kept = F.when(F.size("_gone") > 0, F.array_join(_slices(), "\n")).otherwise(F.coalesce(docs["text"], F.lit("")))
+    split = joined.withColumn(all_lines, split_lines(docs["text"]))
+    kept = F.when(F.size(places_of) > 0, F.array_join(_slices(all_lines, places_of), "\n")).otherwise(F.coalesce(docs["text"], F.lit("")))
     return split.select(
         *[docs[c] for c in docs.columns if c not in ("kept", "n_lines", "n_dropped")],
         kept.alias("kept"),
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.size(all_lines).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size(places_of), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
 
 
-def _slices() -> Column:
-    """The array ``_lines`` without the places in the sorted array ``_gone``."""
+def _slices(lines: str, gone: str) -> Column:
+    """The array ``lines`` without the places in the sorted array ``gone``."""
     return F.expr(
-        """flatten(transform(sequence(0, size(_gone)), j ->
-            slice(_lines, if(j = 0, 1, _gone[greatest(j, 1) - 1] + 2),
-                  if(j = size(_gone), size(_lines), _gone[least(j, size(_gone) - 1)]) - if(j = 0, 0, _gone[greatest(j, 1) - 1] + 1))))"""
+        f"""flatten(transform(sequence(0, size({gone})), j ->
+            slice({lines}, if(j = 0, 1, {gone}[greatest(j, 1) - 1] + 2),
+                  if(j = size({gone}), size({lines}), {gone}[least(j, size({gone}) - 1)]) - if(j = 0, 0, {gone}[greatest(j, 1) - 1] + 1))))"""
     )

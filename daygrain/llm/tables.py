@@ -14,3 +14,14 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores after it as tell it from all ``columns``, in any letter case."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 # Extra columns that are named like some that the operators use themselves.
-CLASHING = "kept n_lines n_dropped row_hash k1 k2 sig rep a b u v component_id n_shingles label score key fold block line piece start length sequence_id found kinds pos window item_id".split()
+CLASHING = "kept n_lines n_dropped row_hash k1 k2 sig rep a b u v component_id n_shingles label score key fold block line piece start length sequence_id found kinds pos window item_id _gone _gone_doc _gone_row _lines _doc _row _rejected _leaked _again _key _own own row rank first text_hash form codes familiar last_block".split()
 
 
 @pytest.fixture(scope="session")

@@ -149,13 +149,42 @@ def test_near_vectors(spark, monkeypatch):
 
 
 def test_recall_on_the_given_vectors(spark):
-    """Against brute force over all given vectors of the smallest tables with several lists."""
+    """The given vectors have no pair, and none is found."""
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     x = np.array([r["embedding"] for r in rows.orderBy("vec_id").collect()], np.float64)
     x /= np.sqrt((x**2).sum(axis=1))[:, None]
-    expected = int(((x @ x.T) >= 0.9).sum()) - len(x)
-    got = sum(r["n_links"] for r in pq_dedup.near_vectors(rows).collect())
-    assert 0.9 * expected <= got <= expected + 2
+    assert sum(r["n_links"] for r in pq_dedup.near_vectors(rows).collect()) == int(((x @ x.T) >= 0.9).sum()) - len(x) == 0
+
+
+@pytest.mark.parametrize("lists", [64, 512, 2048, 16384, 4_000_000])
+def test_recall_of_planted_pairs_by_the_number_of_lists(lists):
+    """Pairs at a cosine of 0.9 to 0.92 in 64 dimensions: how many meet in a probed list. The figures are in the README."""
+    random = np.random.default_rng(lists)
+    unit = lambda v: v / np.sqrt((v**2).sum(axis=1))[:, None]
+    index = pq_dedup.fit(unit(random.normal(size=(4096, 64))), lists)
+    assert index.lists >= lists
+    one = unit(random.normal(size=(200, 64)))
+    other = random.normal(size=one.shape)
+    other = unit(other - (other * one).sum(axis=1)[:, None] * one)
+    cosine = random.uniform(0.9, 0.92, len(one))[:, None]
+    other = cosine * one + np.sqrt(1 - cosine**2) * other
+    a, b = index.nearest(one), index.nearest(other)
+    recall = float(((a == b[:, :1]).any(axis=1) | (b == a[:, :1]).any(axis=1)).mean())
+    print(f"{index.lists} lists, {index.probes} probes: recall {recall:.3f}")
+    assert recall >= 0.95
+
+
+def test_lists_divided_twice_lose_no_link_when_all_are_probed(spark, monkeypatch):
+    random = np.random.default_rng(9)
+    rows = []
+    for _ in range(80):
+        base = random.normal(size=12)
+        rows += [(len(rows) + k, [float(x) for x in base + random.normal(size=12) * 0.15]) for k in range(4)]
+    for name, value in {"LIST_SIZE": 8, "COARSE": 6, "PROBES": 1000}.items():
+        monkeypatch.setattr(pq_dedup, name, value)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in pq_dedup.near_vectors(df).collect()}
+    assert got == brute_vectors(rows)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 50, 1000])

@@ -64,11 +64,20 @@ def test_whole_run(spark, corpus):
 
 def test_empty_corpus_and_rows_without_ids(spark, docs_of, tmp_path):
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {}
     for name, rows in (("empty", []), ("odd", ODD)):
         docs = docs_of(rows)
-        for _, stage in corpus_pipeline.STAGES:
+        for stage_name, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, str(tmp_path))
-        assert docs.count() >= 0, name
+            left[name, stage_name] = docs.count()
+            assert stage_name == "best_fit_packing" or docs.columns == docs_of([]).columns
+    assert {n for (name, _), n in left.items() if name == "empty"} == {0}
+    lettered = [t for _, t in ODD if re.search(r"[^\W\d_]", t or "")]
+    # All texts with letters are the language's own here; of the three equal ones two rows differ by their id.
+    assert len(lettered) - 3 <= left["odd", "language_id"] <= len(lettered)
+    assert left["odd", "line_dedup"] == left["odd", "language_id"]
+    assert 1 <= left["odd", "ngram_jaccard_join"] == left["odd", "benchmark_decontamination"] <= len(set(lettered))
+    assert left["odd", "best_fit_packing"] >= left["odd", "benchmark_decontamination"]
 
 
 def test_repeated_rows_and_rows_without_ids_are_judged(spark, docs_of, tmp_path):
@@ -87,7 +96,7 @@ def test_repeated_rows_and_rows_without_ids_are_judged(spark, docs_of, tmp_path)
 
 
 def test_one_query_for_each_operator():
-    assert [len([n for n in LLM_REGISTRY if n.startswith(f"op{k}_")]) for k in range(1, 11)] == [1] * 10
+    assert [len([n for n in LLM_REGISTRY if n.startswith(f"op{k}_")]) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in LLM_REGISTRY
 
 

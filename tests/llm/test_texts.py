@@ -9,8 +9,9 @@ import zlib
 import numpy as np
 import pytest
 from llm_rows import ODD
+from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, html_text, language, licenses, line_runs, packing, quality, token_counts
+from daygrain.llm import decontaminate, html_text, language, licenses, line_runs, packing, quality, subword, token_counts
 from daygrain.llm.tables import tokenizer_path
 
 BPE = tokenizer_path("byte_bpe_50k.json")
@@ -74,6 +75,24 @@ def test_items_that_cannot_pair_stay_apart(spark):
     assert packing.pack(pieces, 1024, group=50).select("sequence_id").distinct().count() == 300
 
 
+def test_equal_rows_are_dealt_apart_and_small_bins_meet(spark):
+    """Rows that are equal in everything are many groups, and one bin at most stays that is not more than half full."""
+    same = spark.range(200_000, numPartitions=8).selectExpr("cast(null AS bigint) AS doc_id", "0 AS piece", "0L AS start", "1L AS length", "7L AS ids_crc32")
+    packed = packing.pack(same, 1024, group=4096)
+    sizes = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert sizes.agg(F.sum("n"), F.max("n"), F.count_if(F.expr("n <> end"))).first()[:] == (200_000, 1024, 0)
+    assert sizes.count() <= -(-200_000 // 1024) + 1
+
+
+def test_rounds_go_on_while_bins_can_join(spark):
+    source = random.Random(4)
+    pieces = [(k, 0, 0, source.choice([300, 500, 505, 700, 705, 319, 10]), k) for k in range(3000)]
+    df = spark.createDataFrame(pieces, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    packed = packing.pack(df, 1024, group=32)
+    filled = sorted(r["n"] for r in packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect())
+    assert packed.count() == 3000 and sum(2 * n <= 1024 for n in filled) <= 1
+
+
 # -- line dedup --
 
 
@@ -258,6 +277,47 @@ def test_language(spark, docs_of):
     assert sorted(again["score"]) == sorted(found["score"])
 
 
+SYLLABLES = {"aa": "ka lo mi te ru pa".split(), "bb": "sch ung ei berg ich zu".split(), "cc": "qux vyv fjo wq xy kjw".split()}
+
+
+def prose(lang, n, seed):
+    source = random.Random(seed)
+    return " ".join("".join(source.choices(SYLLABLES[lang], k=3)) for _ in range(n))
+
+
+def test_junk_and_a_language_that_was_left_out_are_rejected(spark, docs_of):
+    known = [(k, prose(lang, 40, k), lang) for k in range(3000) for lang in ["aa" if k % 2 else "bb"]]
+    model = language.learn(docs_of(known))
+    assert model.false_acceptance <= 0.02 and model.reject_below != 0.5
+    source = random.Random(1)
+    salad = [(10_000 + k, "".join(source.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(150)), None) for k in range(300)]
+    foreign = [(20_000 + k, prose("cc", 40, k), None) for k in range(300)]
+    fresh = [(30_000 + k, prose(lang, 40, 50_000 + k), lang) for k in range(1000) for lang in ["aa" if k % 2 else "bb"]]
+    found = language.languages(docs_of(salad + foreign + fresh), model).toPandas()
+    rejected = lambda low: found[found["doc_id"].between(low, low + 9999)]["rejected"].mean()
+    assert rejected(10_000) >= 0.98 and rejected(20_000) >= 0.98 and rejected(30_000) <= 0.005
+
+
+def test_scores_equal_a_plain_loop(spark, docs_of):
+    rows = [(k, prose("aa" if k % 2 else "bb", 12, k), "aa" if k % 2 else "bb") for k in range(400)]
+    model = language.learn(docs_of(rows))
+    texts = rows[:20] + [(1000, "ka  lo\tmi x", None), (1001, "é ung\n", None), (1002, "z", None)]
+    found = {r["doc_id"]: r for r in language.languages(docs_of(texts), model).collect()}
+    for doc, text, _ in texts:
+        data = bytes(32 if c in b" \t\n\x0b\x0c\r" else c for c in text.encode())
+        total, seen, n = np.zeros(len(model.labels)), 0.0, 0
+        for size in (2, 3, 4):
+            for at in range(len(data) - size + 1):
+                part = data[at : at + size]
+                if 32 not in part[1:-1]:
+                    bucket = (int.from_bytes(part, "little") * subword.MULTIPLIERS[size] % 2**32) >> (32 - subword.BITS)
+                    total, seen, n = total + model.table[bucket], seen + model.seen[bucket], n + 1
+        raw = np.exp((total / max(1, n) + model.bias) / model.temperature)
+        share = raw / raw.sum()
+        assert found[doc]["score"] == pytest.approx(share.max()) and found[doc]["lang_pred"] == model.labels[int(share.argmax())]
+        assert found[doc]["rejected"] == (share.max() < model.reject_below or seen / max(1, n) < model.least_familiar)
+
+
 def test_language_without_labels(spark, docs_of):
     docs = docs_of([(d, t, None) for d, t in ODD])
     found = language.languages(docs, language.learn(docs)).collect()
@@ -362,6 +422,19 @@ def test_pages_table(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "text, of some length" + "</section>" * 100_000,
+    "<b><div>" + "<i>" * 100_000 + "</b>" * 100_000 + "text, of some length",
+    "<header>" + "<div>" * 100_000 + "<h1>t</h1>" * 1000 + "</header><p>text, of some length</p>",
+], ids=["stray blocks", "stray inline tags", "deep header"])
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    assert "text, of some length" in html_text.main_text(page)
+    assert time.process_time() - began < 6
+
+
 # -- token counts and licences --
 
 
@@ -414,6 +487,76 @@ def test_licence_scan_agrees_with_plain_search(spark):
     assert exact == plain
 
 
+def notices(spark, docs_of, *texts):
+    found = licenses.licenses(docs_of(list(enumerate(texts)))).collect()
+    return sorted((r["doc_id"], r["block"], r["last_block"], r["license"], r["kind"], r["n_missing"], r["n_added"]) for r in found)
+
+
+def test_licences_over_line_ends_several_a_line_and_tags(spark, docs_of):
+    got = notices(
+        spark,
+        docs_of,
+        "intro\nLicensed under the Apache License,\nVersion 2.0.\nend",
+        "Code: released under the MIT License. Text and pictures: Licensed under CC BY-NC 4.0. Enjoy.",
+        "// SPDX-License-Identifier: Apache-2.0\nint main() {}",
+        "# SPDX-License-Identifier: GPL-2.0-or-later",
+        "Licensed under CC BY 4.0.",
+        "Driver licence holders read the copyright page, in the public domain of ideas.",
+    )
+    assert got == [
+        (0, 1, 2, "Apache-2.0", "notice", 0, 0),
+        (1, 0, 0, "CC-BY-NC-4.0", "notice", 0, 0),
+        (1, 0, 0, "MIT", "notice", 0, 0),
+        (2, 0, 0, "Apache-2.0", "tag", 0, 0),
+        (3, 0, 0, "GPL-2.0-or-later", "tag", 0, 0),
+        (4, 0, 0, "CC-BY-4.0", "notice", 0, 0),
+    ]
+
+
+def test_every_header_and_body_is_found_whole_wrapped_and_with_changes(spark, docs_of):
+    texts = [t for t in licenses.standard_templates() if t.kind in ("header", "body")]
+    assert len(texts) >= 15
+    wrapped = []
+    for t in texts:
+        words = t.text.split()
+        lines = [" * " + " ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+        wrapped.append("Copyright (c) 2020 Some Body\n\n" + "\n".join(lines) + "\n\nint x;")
+    got = notices(spark, docs_of, *wrapped)
+    assert [(d, name, kind, missing + added) for d, _, _, name, kind, missing, added in got] == [(k, t.license, t.kind, 0) for k, t in enumerate(texts)]
+    changed = []
+    for t in texts:
+        words = t.text.split()
+        for at in range(12, len(words), 25):
+            words[at] = "other"
+        changed.append(" ".join(words).upper())
+    found = {(r[0], r[3]) for r in notices(spark, docs_of, *changed)}
+    assert {(k, t.license) for k, t in enumerate(texts) if len(t.text.split()) > 12} <= found
+
+
+def test_licence_scan_equals_all_windows_by_brute_force(spark, docs_of):
+    """All windows of all templates' lengths, word by word; of overlapping ones the longest. Random filler between notices."""
+    source = random.Random(12)
+    given = licenses.standard_templates()
+    texts = []
+    for _ in range(40):
+        parts = []
+        for _ in range(source.randrange(1, 5)):
+            parts += ["".join(source.choices("bcdfgklmnprst", k=5)) for _ in range(source.randrange(3, 30))] + [source.choice(given).text]
+        words = " ".join(parts).split(" ")
+        texts.append("".join(w + source.choice((" ", " ", " ", "\n")) for w in words))
+    expected = set()
+    for d, text in enumerate(texts):
+        words = licenses.words_of(text)
+        exact = [(len(x), k, t.license, t.kind) for t in given for x in [licenses.words_of(t.text)] for k in range(len(words) - len(x) + 1) if words[k : k + len(x)] == x]
+        taken = []
+        for n, k, name, kind in sorted(exact, key=lambda e: (-e[0], e[1:])):
+            if all(k + n <= a or b <= k for a, b in taken):
+                taken.append((k, k + n))
+                expected.add((d, name, kind, " ".join(words[k : k + n])))
+    found = licenses.licenses(docs_of(list(enumerate(texts)))).where("n_missing = 0 AND n_added = 0").collect()
+    assert {(r["doc_id"], r["license"], r["kind"], r["wording"]) for r in found} == expected
+
+
 def test_kept_text_hash_is_of_utf8(docs_of):
     from pyspark.sql import functions as F
 
