@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.llm import decontaminate, language, line_runs, ngram_join, packing
-from daygrain.llm.tables import table, tokenizer_path
+from daygrain.llm.tables import table, tokenizer_path, unused
 from daygrain.session import cut, fresh_folder
 
 
@@ -14,8 +14,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose language is known surely enough; the others go."""
     found = language.languages(docs, language.learn(docs))
     # The decision depends on the text alone, so it goes by the text: rows may lack an id or share one.
-    rejected = cut(found.where("rejected").select("text_hash").distinct()).toDF("_rejected")
-    return docs.join(rejected, F.xxhash64(docs["text"]) == F.col("_rejected"), "left_anti").select(docs.columns)
+    (text_hash,) = unused(docs.columns, "_rejected")
+    rejected = cut(found.where("rejected").select("text_hash").distinct()).toDF(text_hash)
+    return docs.join(rejected, F.xxhash64(docs["text"]) == F.col(text_hash), "left_anti").select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,27 +32,29 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows with equal text and id one stays, with or without an id. Rows that share an id are
     compared like any others.
     """
-    again = cut(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")))
-    is_again = F.col("doc_id") == F.col("_again")
-    plain = docs.where("doc_id IS NOT NULL").join(again, is_again, "left_anti").withColumn("_key", F.col("doc_id"))
+    key, again_id = unused(docs.columns, "_key", "_again")
+    again = cut(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again_id)))
+    is_again = F.col("doc_id") == F.col(again_id)
+    plain = docs.where("doc_id IS NOT NULL").join(again, is_again, "left_anti").withColumn(key, F.col("doc_id"))
     # Rows whose id does not tell them apart go by a hash, below the other keys as far as ids are not negative.
     odd = docs.where("doc_id IS NULL").unionByName(docs.join(again, is_again, "left_semi"))
-    odd = cut(odd.withColumn("_key", -F.shiftrightunsigned(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"), 1) - 1).dropDuplicates(["_key"]))
+    odd = cut(odd.withColumn(key, -F.shiftrightunsigned(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"), 1) - 1).dropDuplicates([key]))
     rows = plain.unionByName(odd)
-    found = ngram_join.near_duplicates(rows.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id")
-    own = odd.select("_key", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "_key").alias("_own"))
-    usual = F.struct(F.lit(False).alias("none"), F.col("_key").alias("id"), "_key")
-    ranked = cut(found.join(own, "_key", "left").select("_key", "component_id", F.coalesce("_own", usual).alias("rank")))
+    found = ngram_join.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id")
+    own = odd.select(F.col(key).alias("key"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key")).alias("own"))
+    usual = F.struct(F.lit(False).alias("none"), F.col("key").alias("id"), F.col("key"))
+    ranked = cut(found.join(own, "key", "left").select("key", "component_id", F.coalesce("own", usual).alias("rank")))
     first = ranked.groupBy("component_id").agg(F.min("rank").alias("first"))
-    gone = ranked.join(first, "component_id").where("_key <> first._key").select("_key").distinct()
-    return rows.join(cut(gone), "_key", "left_anti").select(docs.columns)
+    gone = cut(ranked.join(first, "component_id").where("key <> first.key").select(F.col("key").alias(key)).distinct())
+    return rows.join(gone, key, "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; each row is judged by its own text, with or without an id."""
     found = decontaminate.leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    leaked = cut(found.select("doc_id").distinct()).toDF("_leaked")
-    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col("_leaked"), "left_anti").select(docs.columns)
+    (text_hash,) = unused(docs.columns, "_leaked")
+    leaked = cut(found.select("doc_id").distinct()).toDF(text_hash)
+    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col(text_hash), "left_anti").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
