@@ -15,8 +15,8 @@ from daygrain.llm import subword
 from daygrain.llm.language import HELD_OUT, fold
 from daygrain.session import cut
 
-#: Whole texts of each class to learn from; half as many calibrate.
-PER_CLASS = 1000
+#: Whole texts of each class to learn from; twice as many calibrate.
+PER_CLASS = 800
 #: The classifier's log odds count up to this; beyond, it is one voice among the evidence.
 MOST_LOG_ODDS = 8.0
 

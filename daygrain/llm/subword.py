@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.spans import IS_SPACE, Chunk, chunks
-from daygrain.session import ship
+from daygrain.session import cut, ship
 
 BITS = 16
 #: Folds of the sample, and how many of them calibrate.
-FOLDS, CALIBRATING = 3, 1
+FOLDS, CALIBRATING = 3, 2
 SIZES = (2, 3, 4)
 #: Odd multipliers of the hash of each subword size.
 MULTIPLIERS = {2: 2654435761, 3: 2246822519, 4: 3266489917}
@@ -69,17 +69,25 @@ def _bags(column: pa.Array) -> tuple[list[bytes], list[bytes]]:
     return buckets, shares
 
 
-FEATURES = "label string, fold int, junk boolean, buckets binary, shares binary"
-
-
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bag of each text; of one that calibrates, a second one of its characters in random order."""
     for batch in batches:
-        for junk in (False, True):
-            part = batch.filter(pc.less(batch.column("fold"), CALIBRATING)) if junk else batch
-            texts = part.column("text")
-            bags = _bags(pa.array([_scrambled(t) for t in texts.to_pylist()], pa.string()) if junk else texts)
-            yield pa.RecordBatch.from_arrays([part.column("label"), part.column("fold"), pa.array([junk] * len(part), pa.bool_()), *(pa.array(x, pa.binary()) for x in bags)], ["label", "fold", "junk", "buckets", "shares"])
+        bags = [pa.array(x, pa.binary()) for x in _bags(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("label"), *bags], ["label", "buckets", "shares"])
+
+
+def _measured(table: np.ndarray, bias: np.ndarray, seen: np.ndarray):
+    """Raw scores and the share of familiar subwords of calibrating texts, as they are and scrambled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for junk, column in ((False, texts), (True, pa.array([_scrambled(t) for t in texts.to_pylist()], pa.string()))):
+                bags = [(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32)) for b, s in zip(*_bags(column))]
+                raw = pa.array([(s @ table[b] + bias).tolist() for b, s in bags], pa.list_(pa.float64()))
+                familiar = pa.array([float(s @ seen[b]) for b, s in bags], pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([junk] * len(bags), pa.bool_()), raw, familiar], ["label", "junk", "raw", "familiar"])
+
+    return run
 
 
 @dataclass
@@ -115,35 +123,34 @@ def sample(labelled: DataFrame, per_label: float) -> DataFrame:
 
 
 def train(labelled: DataFrame, per_label: int, dims: int = 16, epochs: int = 10, rate: float = 0.5, reject: float = 0.001, accept: float = 0.01) -> Model:
-    """Fit on a bounded sample of (doc_id, text, label): ``per_label`` whole texts of each label to learn from, half as many to calibrate.
+    """Fit on a bounded sample of (doc_id, text, label): ``per_label`` whole texts of each label to learn from, twice as many to calibrate.
 
     The calibrating texts settle the temperature of the softmax and what is rejected. They are
     scrambled too, which gives junk of the same characters. A text is rejected for its score if
     ``reject`` of the calibrating texts lie lower; and for its subwords if fewer of them were seen in
     training than in all but ``accept`` of the junk, but no more than ``reject`` of the calibrating texts either.
+    Only the bags of the learning texts and the scores of the others are collected.
     Without labelled rows the model has no label and rejects everything.
     """
     ship(labelled.sparkSession)
-    some = labelled.where("label IS NOT NULL AND text IS NOT NULL")
-    rows = sample(some, per_label * FOLDS / (FOLDS - CALIBRATING)).select("text", "label", "fold")
-    rows = rows.mapInArrow(_features, FEATURES).toPandas()
+    some = cut(sample(labelled.where("label IS NOT NULL AND text IS NOT NULL"), per_label * FOLDS / (FOLDS - CALIBRATING)).select("text", "label", "fold"))
+    # Too few texts to hold any back: all of them learn, and calibrate as well.
+    few = some.count() < 60
+    own = some if few else some.where(F.col("fold") >= CALIBRATING)
+    rows = own.mapInArrow(_features, "label string, buckets binary, shares binary").toPandas()
     # A fixed order, whatever the partitions came back in.
-    rows = rows.sort_values(["label", "junk", "fold", "buckets", "shares"], ignore_index=True)
+    rows = rows.sort_values(["label", "buckets", "shares"], ignore_index=True)
     labels = sorted(set(rows["label"]))
     if not labels:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 1.0, np.zeros(1 << BITS))
     index = {x: k for k, x in enumerate(labels)}
     data = [(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32), index[y]) for b, s, y in zip(rows["buckets"], rows["shares"], rows["label"])]
-    real, calibrating = ~rows["junk"].to_numpy(bool), rows["fold"].to_numpy() < CALIBRATING
-    if (real & ~calibrating).sum() < 20:  # too few to hold any back
-        calibrating[:] = False
     random = np.random.default_rng(5)
     embeddings = random.normal(0, 1, (1 << BITS, dims)).astype(np.float32)
     weights, bias = np.zeros((dims, len(labels)), np.float32), np.zeros(len(labels), np.float32)
-    own = np.flatnonzero(real & ~calibrating)
-    steps, step = epochs * len(own), 0
+    steps, step = epochs * len(data), 0
     for _ in range(epochs):
-        for k in random.permutation(own):
+        for k in random.permutation(len(data)):
             buckets, shares, y = data[k]
             now = rate * (1 - step / steps)
             step += 1
@@ -158,23 +165,31 @@ def train(labelled: DataFrame, per_label: int, dims: int = 16, epochs: int = 10,
                 embeddings[buckets] -= (0.2 * now * shares * len(buckets))[:, None] * back
     table = (embeddings @ weights).astype(np.float64)
     seen = np.zeros(1 << BITS)
-    for k in own:
-        seen[data[k][0]] = 1.0
-    kept = np.flatnonzero(real & calibrating)
-    kept = kept if len(kept) else own
-    junk = np.flatnonzero(~real)
-    raw = {k: data[k][1] @ table[data[k][0]] + bias for k in (*kept, *junk)}
+    for buckets, _, _ in data:
+        seen[buckets] = 1.0
+    held = some if few else some.where(F.col("fold") < CALIBRATING)
+    held = held.where(F.col("label").isin(labels)).mapInArrow(_measured(table, bias.astype(np.float64), seen), "label string, junk boolean, raw array<double>, familiar double")
+    held = held.toPandas().sort_values(["label", "junk", "familiar"], ignore_index=True, kind="stable")
+    junk, familiar = held["junk"].to_numpy(bool), held["familiar"].to_numpy(float)
+    raw = np.stack(held["raw"].to_numpy()) if len(held) else np.zeros((0, len(labels)))
+    truth = np.array([index[y] for y in held["label"]], int)
     grid = np.geomspace(0.5, 20, 40)
-    losses = [-np.log(np.maximum([_softmax(raw[k] / t)[data[k][2]] for k in kept], 1e-9)).mean() for t in grid]
+    if junk.all():
+        return Model(labels, table, bias.astype(np.float64), 1.0, 0.0, seen)
+    losses = [-np.log(np.maximum(_shares(raw / t)[~junk, truth[~junk]], 1e-9)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(losses))])
-    sure, junk_sure = (np.array([_softmax(raw[k] / temperature).max() for k in part]) for part in (kept, junk))
-    familiar, junk_familiar = (np.array([data[k][1] @ seen[data[k][0]] for k in part]) for part in (kept, junk))
-    reject_below = float(np.quantile(sure, reject, method="lower"))
-    least = min(float(np.quantile(familiar, reject, method="lower")), float(np.quantile(junk_familiar, 1 - accept)) if len(junk) else 1.0)
-    passed = float(((junk_sure >= reject_below) & (junk_familiar >= least)).mean()) if len(junk) else 0.0
+    sure = _shares(raw / temperature).max(axis=1)
+    reject_below = float(np.quantile(sure[~junk], reject, method="lower"))
+    least = min(float(np.quantile(familiar[~junk], reject, method="lower")), float(np.quantile(familiar[junk], 1 - accept)))
+    passed = float(((sure >= reject_below) & (familiar >= least))[junk].mean())
     return Model(labels, table, bias.astype(np.float64), temperature, reject_below, seen, least, passed)
 
 
+def _shares(raw: np.ndarray) -> np.ndarray:
+    e = np.exp(raw - raw.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max())
     return e / e.sum()
@@ -199,8 +214,7 @@ def _scored(model: Model):
                 total /= np.maximum(count, 1)[:, None]
                 familiar += total[:, -1].tolist()
                 raw = (total[:, :-1] + model.bias) / model.temperature
-                raw = np.exp(raw - raw.max(axis=1, keepdims=True))
-                share = raw / raw.sum(axis=1, keepdims=True)
+                share = _shares(raw)
                 label += [model.labels[k] for k in share.argmax(axis=1)]
                 score += share.max(axis=1).tolist()
                 shares += share.tolist()
