@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from daygrain.operators import stats
+from daygrain.operators import consolidate, joins, stats
 from daygrain.plans import raw
 from daygrain.sinks import tables
 from daygrain.sources import files, schemas
@@ -153,3 +153,73 @@ def test_a_write_killed_between_delete_and_rename_loses_nothing(spark, rows, tmp
     assert rows(tables.read_time_range(spark, table, schema), "t", "v") == [(day(1, 3), "kept"), (day(1, 8), "new")]
     landing.absorb(batch, table, "t")
     assert tables.read_time_range(spark, table, schema).count() == 2
+
+
+def counting(spark, df, column):
+    """The rows, and a counter of how often any of them was made."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(_):
+        made.add(1)
+        return True
+
+    return df.where(seen(column)), made
+
+
+def test_inputs_are_evaluated_once(spark):
+    rows = spark.createDataFrame([(dt.datetime(2024, 5, 1 + k % 3, k % 24), "v", dt.date(2024, 5, 1 + k % 4), "c") for k in range(60)], "t timestamp_ntz, v string, file_date date, city string")
+    new, made = counting(spark, rows, "v")
+    assert consolidate.consolidate(rows.where("t < timestamp_ntz'2024-05-01 05:00'"), new, "t").count() >= 60 and made.value == 60
+    files_, made = counting(spark, rows, "v")
+    assert consolidate.recompile(files_, "file_date", "t", ["city"]).count() > 0 and made.value == 60
+    many, made = counting(spark, spark.range(50).selectExpr("id % 7 AS a", "id"), "id")
+    one, made_one = counting(spark, spark.range(9).selectExpr("id AS b"), "b")
+    assert joins.full_outer_split(many, one, "a", "b").count() == 52 and (made.value, made_one.value) == (50, 9)
+
+
+def test_an_upsert_of_one_key_rewrites_one_bucket(spark, rows, tmp_path):
+    table = str(tmp_path / "t")
+    tables.upsert(spark.range(500).selectExpr("id AS k", "'old' AS v"), table, "k")
+    before = tables._buckets(spark, tables.versions(spark, table)[-1])
+    tables.upsert(spark.createDataFrame([(7, "new")], "k bigint, v string"), table, "k")
+    after = tables._buckets(spark, tables.versions(spark, table)[-1])
+    assert len(before) == len(after) == tables.BUCKETS and sum(before[n] != after[n] for n in before) == 1
+    assert rows(tables.read_table(spark, table)) == sorted([(k, "new" if k == 7 else "old") for k in range(500)], key=repr)
+    tables.drop_old_versions(spark, table, keep=1)
+    assert tables.read_table(spark, table).count() == 500 and len(tables.versions(spark, table)) == 1
+    tables.write_full(spark.range(3).selectExpr("id AS k", "'whole' AS v"), table)
+    tables.upsert(spark.createDataFrame([(2, "new"), (9, "new")], "k bigint, v string"), table, "k")
+    assert rows(tables.read_table(spark, table)) == [(0, "whole"), (1, "whole"), (2, "new"), (9, "new")]
+
+
+def test_a_swap_killed_between_two_days_is_completed(spark, rows, tmp_path, monkeypatch):
+    table, schema = str(tmp_path / "t"), "d date, v string"
+    day = lambda n: dt.date(2024, 5, n)
+    tables.write_time_range(spark.createDataFrame([(day(n), "old") for n in range(1, 6)], schema), table, "d", day(1), day(6))
+    real, done = tables._rename, []
+
+    def dies(fs, old, new):
+        if len(done) == 2:
+            raise RuntimeError("killed")
+        done.append(new)
+        real(fs, old, new)
+
+    monkeypatch.setattr(tables, "_rename", dies)
+    with pytest.raises(RuntimeError):
+        tables.write_time_range(spark.createDataFrame([(day(n), "new") for n in (1, 3, 4)], schema), table, "d", day(1), day(5))
+    monkeypatch.setattr(tables, "_rename", real)
+    tables.finish_pending(spark, table)
+    tables.finish_pending(spark, table)
+    assert rows(tables.read_time_range(spark, table, schema)) == [(day(1), "new"), (day(3), "new"), (day(4), "new"), (day(5), "old")]
+
+
+def test_building_the_game_table_takes_fewer_jobs(spark):
+    """Landing copies included; it were 46 when counts, look back and streaks were stored one after the other."""
+    from proofs.queries import REGISTRY
+
+    spark.sparkContext.setJobGroup("games", "building")
+    table = REGISTRY["gold_games"][0](spark, "/root/testdata/sf0.001")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("games"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert table.count() > 0 and jobs <= 40
