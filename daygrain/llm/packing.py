@@ -44,7 +44,7 @@ class Words:
     rare characters or special tokens are encoded as a whole.
     """
 
-    SLOTS, MOST_IDS = 1 << 22, 1 << 24
+    SLOTS, MOST_IDS = 1 << 21, 1 << 24
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,7 +57,7 @@ class Words:
 
     def clear(self) -> None:
         self.keys = np.zeros(self.SLOTS, np.uint64)
-        self.places = np.zeros((self.SLOTS, 2), np.int64)
+        self.places = np.zeros((self.SLOTS, 2), np.int32)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _whole(self, text: str) -> np.ndarray:
@@ -136,7 +136,7 @@ class Words:
         missing = np.flatnonzero(self.keys[slots] != keys)
         if len(missing):
             self._remember(text, keys, slots, starts, ends, missing)
-        places = self.places[slots]
+        places = self.places[slots].astype(np.int64)
         lost = np.flatnonzero(self.keys[slots] != keys)
         if len(lost):  # pre-tokens of this call that meet in one place
             where, back = self._append(text, keys, starts, ends, lost)[1:]
