@@ -36,6 +36,8 @@ WORDS = 5
 PER_CENT = 80
 #: Share of segments beyond those that the pigeonhole needs, so that widely shared ones can be left out.
 SPARE = 0.2
+#: So many sets a task knows again before it starts afresh.
+REMEMBERED = 10_000
 
 
 def band_limits(largest: int) -> list[tuple[int, int]]:
@@ -120,12 +122,14 @@ def _profiles(words: int):
 
 def _index(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of equal sets near each other one speaks for all: a group of copies is small before it is shuffled.
+        known: set[tuple[int, int]] = set()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             rows: list[tuple[int, int, int, np.ndarray]] = []
             held = 0
-            # Of equal sets in a batch one speaks for all: a group of copies is small before it is shuffled.
-            known: set[tuple[int, int]] = set()
+            if len(known) > REMEMBERED:
+                known.clear()
             bands = band_limits(1)
             for doc, found in zip(ids.tolist(), shingle_sets(batch.column("text"), words)):
                 n = len(found)

@@ -47,7 +47,7 @@ class Chunk:
         self.rows = len(offsets) - 1
 
 
-def chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[Chunk]:
+def chunks(column: pa.Array, most: int = 1 << 18) -> Iterator[Chunk]:
     """Cut a string column into pieces of whole rows of about ``most`` bytes; null counts as empty.
 
     A longer row is a piece of its own: what numpy holds at a time is bounded by the piece.

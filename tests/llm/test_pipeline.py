@@ -3,10 +3,14 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from llm_rows import ODD
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from daygrain import session
+from daygrain.llm import ngram_join, packing, subword
 from daygrain.llm.queries import LLM_REGISTRY
 
 LANGUAGES = {"aa": ["ka", "lo", "mi", "ne"], "bb": ["sch", "ung", "ei", "pf"]}
@@ -95,6 +99,38 @@ def test_repeated_rows_and_rows_without_ids_are_judged(spark, docs_of, tmp_path)
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted([(None, one), (4, two), (None, None)], key=repr)
 
 
+def test_texts_go_to_python_in_short_batches(spark, corpus, monkeypatch):
+    folder, _, _ = corpus
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), set()
+
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    def stored(df, cut=session.cut):
+        if "InArrow" in df._jdf.queryExecution().optimizedPlan().toString():
+            seen.add(spark.range(0, 5000, 1, 1).mapInArrow(lengths, "n bigint").agg(F.max("n")).first()[0])
+        return cut(df)
+
+    for module in (corpus_pipeline, ngram_join, packing, subword):
+        monkeypatch.setattr(module, "cut", stored)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        seen.clear()
+        left = stage(spark, docs, folder)
+        assert seen == ({1000} if name in ("language_id", "ngram_jaccard_join", "best_fit_packing") else set()), name
+        # Nothing is left for Python once the stage has returned, and the session is as it was.
+        assert "InArrow" not in left._jdf.queryExecution().optimizedPlan().toString()
+        assert spark.conf.get(key) == before
+    with pytest.raises(ValueError), session.short_batches(spark, 7):
+        assert spark.range(0, 50, 1, 1).mapInArrow(lengths, "n bigint").agg(F.max("n")).first()[0] == 7
+        with session.short_batches(spark, 9):
+            assert spark.conf.get(key) == "7"
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
 def test_one_query_for_each_operator():
     assert [len([n for n in LLM_REGISTRY if n.startswith(f"op{k}_")]) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in LLM_REGISTRY

@@ -7,11 +7,12 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, html_text, language, licenses, line_runs, packing, quality, subword, token_counts
+from daygrain.llm import decontaminate, html_text, language, licenses, line_runs, packing, quality, spans, subword, token_counts
 from daygrain.llm.tables import tokenizer_path
 
 BPE = tokenizer_path("byte_bpe_50k.json")
@@ -318,6 +319,23 @@ def test_scores_equal_a_plain_loop(spark, docs_of):
         assert found[doc]["rejected"] == (share.max() < model.reject_below or seen / max(1, n) < model.least_familiar)
 
 
+def test_memory_of_a_batch_is_small_beside_its_texts():
+    import tracemalloc
+
+    random.seed(31)
+    texts = ["".join(random.choices("abcdefgh  ", k=4000)) for _ in range(1000)]
+    column = pa.array(texts, pa.string())
+    batch = pa.RecordBatch.from_arrays([column, column], ["key", "text"])
+    model = subword.Model(["a", "b"], np.zeros((1 << subword.BITS, 2)), np.zeros(2), 1.0, 0.0, np.zeros(1 << subword.BITS))
+    peaks = []
+    for work in (lambda: list(subword._scored(model)(iter([batch]))), lambda: sum(len(s) for s in spans.shingle_sets(column))):
+        tracemalloc.start()
+        work()
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert max(peaks) < 20, peaks
+
+
 def test_language_without_labels(spark, docs_of):
     docs = docs_of([(d, t, None) for d, t in ODD])
     found = language.languages(docs, language.learn(docs)).collect()
