@@ -54,13 +54,14 @@ def over_last(df: DataFrame, keys: Sequence[str], time: str, width: int, made: M
 
     inside = Window.partitionBy(*group, "__chunk")
     forward = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    backward = inside.orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+    # Backwards in the order from the end: to a frame that ends at UNBOUNDED FOLLOWING Spark adds all its rows anew for each row.
+    backward = inside.orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     hows = [how for how, _ in made.values()]
     seen = stored.withColumns({p: F.when(F.col("__probe"), MERGE[h](p).over(backward)).otherwise(MERGE[h](p).over(forward)) for h, p in zip(hows, parts)})
 
     chunks = stored.groupBy(*group, "__chunk").agg(*[MERGE[h](p).alias(p) for h, p in zip(hows, parts)])
-    along = Window.partitionBy(*group).orderBy("__chunk")
-    earlier, later = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    along = Window.partitionBy(*group)
+    earlier, later = (along.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("__chunk"), F.desc("__chunk")))
     others = chunks.select(
         *[F.col(c).alias(f"{c}_of") for c in [*group, "__chunk"]],
         *[MERGE[h](p).over(w).alias(f"{p}_{side}") for h, p in zip(hows, parts) for side, w in (("before", earlier), ("after", later))],

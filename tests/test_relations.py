@@ -208,6 +208,19 @@ def test_a_hot_block_of_frames_fills_many_ranges(spark, monkeypatch, few_ranges)
     assert stored[0].groupBy("__k0", "__block", "__chunk").count().agg(F.max("count")).first()[0] < 1200
 
 
+def test_frames_add_each_row_once(spark, monkeypatch, few_ranges):
+    """Spark adds a frame that ends at UNBOUNDED FOLLOWING anew for each row: n * n / 2 steps for the n rows of a range."""
+    plans = []
+    real = frames.cut
+    monkeypatch.setattr(frames, "cut", lambda df: plans.append(plan(df)) or real(df))
+    df = spark.range(3000).selectExpr("'hot' AS key", "id AS at", "id AS value")
+    found = frames.over_last(df, ["key"], "at", 10**6, MADE)
+    assert [r["least"] for r in found.orderBy("at").collect()] == [0] * 3000
+    # The frame of all rows of a group is added once.
+    frame = [p.replace("unboundedpreceding$(), unboundedfollowing$()", "all") for p in (*plans, plan(found))]
+    assert len(frame) == 2 and all("Window" in p and "unboundedfollowing" not in p for p in frame)
+
+
 # --- ranks -------------------------------------------------------------------
 
 
