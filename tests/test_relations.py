@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daygrain.operators import asof, changes, frames, intervals, ranks, sessions, states
 from daygrain.plans import city_days
+from proofs import relations
 
 
 @pytest.fixture
@@ -162,6 +164,90 @@ def test_an_interval_lies_in_two_cells_at_most(spark):
         assert length <= size < 4 * max(2, length) and (r["high"] - 1) // size - r["low"] // size <= 1
 
 
+def brute_open(points, spans):
+    out = []
+    for number, at in points:
+        met = [low for low, high in spans if None not in (at, low, high) and low <= at < high]
+        out.append((number, at, len(met), min(met, default=None)))
+    return sorted(out, key=repr)
+
+
+def placed_spans(place):
+    """Points and intervals with ties, a hot place of either, NULLs, empty and backward intervals and rows that come twice."""
+    draw = random.Random(8)
+    points = [(k, draw.choice([None, *map(place, range(-50, 90))])) for k in range(200)] + [(1000 + k, place(30)) for k in range(300)]
+    spans = [(place(low), place(low + draw.choice([0, 1, 1, 2, 5, 17, 64, 300, -4]))) for low in (draw.randrange(-60, 80) for _ in range(120))]
+    spans += [(place(30), place(30 + k % 7)) for k in range(200)] + [(place(k % 9), place(30)) for k in range(200)]
+    spans += [(None, place(3)), (place(3), None), (None, None), spans[0]]
+    return points + points[:2], spans
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "timestamp_ntz", "timestamp", "date"])
+def test_intervals_open_at_points(spark, rows, few_ranges, kind):
+    place = {"date": lambda n: MOMENT.date() + dt.timedelta(days=n - 19_700), "bigint": lambda n: n, "int": lambda n: n}.get(kind, lambda n: MOMENT + dt.timedelta(seconds=n * 0.370001))
+    points, spans = placed_spans(place)
+    p = spark.createDataFrame(points, f"place bigint, at {kind}")
+    s = spark.createDataFrame(spans, f"opened {kind}, closed {kind}")
+    found = intervals.open_at(p, s, "at", "opened", "closed", "n", "first")
+    assert dict(found.dtypes) == {"place": "bigint", "at": kind, "n": "bigint", "first": kind}
+    assert rows(found) == brute_open(points, spans)
+
+
+def test_open_intervals_of_merged_ranges_empty_sides_and_the_ends_of_the_line(spark, rows):
+    points, spans = placed_spans(lambda n: n)
+    points += [(3000, 2**63 - 1), (3001, -(2**63)), (3002, 2**63 - 2)]
+    spans += [(-(2**63), 2**63 - 1), (2**63 - 2, 2**63 - 1)]
+    p = spark.createDataFrame(points, "point bigint, at bigint")
+    s = spark.createDataFrame(spans, "opened bigint, closed bigint")
+    assert rows(intervals.open_at(p, s, "at", "opened", "closed", "n", "first")) == brute_open(points, spans)
+    assert rows(intervals.open_at(p, s.limit(0), "at", "opened", "closed", "n", "first")) == brute_open(points, [])
+    assert intervals.open_at(p.limit(0), s, "at", "opened", "closed", "n", "first").count() == 0
+    with pytest.raises(TypeError, match="different types"):
+        intervals.open_at(p.withColumn("at", F.col("at").cast("int")), s, "at", "opened", "closed", "n", "first")
+    with pytest.raises(ValueError, match="already"):
+        intervals.open_at(p, s, "at", "opened", "closed", "point", "first")
+
+
+def test_a_hot_place_of_open_intervals_fills_many_ranges(spark, monkeypatch, few_ranges):
+    p = spark.range(2000).selectExpr("id", "7L AS at")
+    sizes = []
+    frame, real = type(p), type(p).mapInArrow
+
+    def counted(df, f, schema):
+        sizes.append([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()])
+        return real(df, f, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    s = spark.range(3000).selectExpr("7L AS opened", "8L AS closed")
+    found = intervals.open_at(p, s, "at", "opened", "closed", "n", "first")
+    assert found.where("n = 3000 AND first = 7").count() == 2000
+    assert sum(sizes[0]) == 8000 and max(sizes[0]) < 1600
+
+
+def test_open_orders_of_events_make_no_pairs(spark, rows, monkeypatch):
+    """400 orders begin in as many seconds, 400 events follow: more than 70,000 pairs, of which none is stored."""
+    stored = []
+    real = intervals.cut
+    monkeypatch.setattr(intervals, "cut", lambda df: stored.append(real(df)) or stored[-1])
+    second = lambda key: dt.timedelta(seconds=key * 7919 % 2592000, microseconds=key % 1000000)
+    keys = [k * pow(7919, -1, 2592000) % 2592000 for k in range(400)]
+    orders = [(k, 1, 1.0) for k in [*keys, None, keys[1]]]
+    events = [(k % 390 if k else None, 1, MOMENT + dt.timedelta(seconds=400 + k, microseconds=k) if k % 50 else None, "view", 1.0) for k in range(400)]
+    tables = {
+        "orders": spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double"),
+        "events": spark.createDataFrame(events, "event_id bigint, user_id bigint, ts timestamp_ntz, event_type string, value double"),
+    }
+    found = relations.RELATIONS["interval_join_orders_open_at_each_event"][0](SimpleNamespace(table=tables.get))
+    spans = [(MOMENT + second(k), MOMENT + second(k) + dt.timedelta(seconds=k % 5400 + 1)) for k, *_ in orders if k is not None and k % 7]
+    expected = {}
+    for key, _, n, first in brute_open([(e[0], e[2]) for e in events], spans):
+        before = expected.get(key, (0, None))
+        expected[key] = (before[0] + n, min([t for t in (before[1], first) if t], default=None))
+    assert sum(n for n, _ in expected.values()) > 70_000
+    assert rows(found) == sorted([(k, *v) for k, v in expected.items()], key=repr)
+    assert sum(df.count() for df in stored) < 5000
+
+
 # --- frames by value ---------------------------------------------------------
 
 
